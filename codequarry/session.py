@@ -57,3 +57,15 @@ def materialise(df, purpose: str):
     path = work_path(df.sparkSession, purpose)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_scan(df):
+    """Use all cores for costly per-row work on a scan of fewer pieces than cores.
+
+    A scan of many pieces, as any large table is, is left as it is. For plain
+    scans only: a plan with shuffles would be run to count its pieces.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
