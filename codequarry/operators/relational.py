@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -78,7 +80,11 @@ def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str)
     """
     on = list(on)
     hot = F.broadcast(_hot_keys(left.select(*on), on))
-    share = F.when(F.col("_hot"), F.pmod(F.spark_partition_id(), F.lit(SPREAD))).otherwise(0)
+    # Rows without a key match nothing and can go anywhere.
+    keyless = reduce(or_, [F.col(c).isNull() for c in on])
+    share = F.when(
+        F.col("_hot") | keyless, F.pmod(F.spark_partition_id(), F.lit(SPREAD))
+    ).otherwise(0)
     spread = left.join(hot, on, "left").withColumn("_share", share).drop("_hot")
     shares = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(
         F.array(F.lit(0))
