@@ -89,6 +89,8 @@ def _docstring(source: _Source, node) -> str | None:
     value = first.value
     if isinstance(value, ast.Constant) and not isinstance(value.value, (str, bytes)):
         return None
+    if (first.lineno, first.col_offset) != (value.lineno, value.col_offset):
+        return None  # in brackets
     text = source.of(value)
     # Adjacent literals are one value to the parser but not one string here.
     strings = [t for t in _tokens(text) if t in ("string", "fstring")]

@@ -12,7 +12,7 @@ _TYPES = {
     "boolean": T.BooleanType(),
     "binary": T.BinaryType(),
     "timestamp": T.TimestampType(),
-    "vector": T.ArrayType(T.FloatType(), containsNull=False),
+    "vector": T.ArrayType(T.FloatType()),
     "bases": T.ArrayType(
         T.StructType().add("name", T.StringType()).add("repeated", T.BooleanType())
     ),

@@ -6,11 +6,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from codequarry.operators.search import vector_widths
 
 
-@F.pandas_udf("array<float>")
+@F.pandas_udf(T.ArrayType(T.FloatType()))
 def decode_vector(raw: pd.Series) -> pd.Series:
     """Bytes → vector; null for null and for a length that is no multiple of 4."""
     return raw.map(
@@ -18,7 +19,7 @@ def decode_vector(raw: pd.Series) -> pd.Series:
     )
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def encode_vector(vector: pd.Series) -> pd.Series:
     return vector.map(lambda v: None if v is None else np.asarray(v, dtype="<f4").tobytes())
 
