@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,15 +32,50 @@ def _literal(text: str) -> str:
     return r"\Q" + text + r"\E"
 
 
+def bound(c: Column, use) -> Column:
+    """``use(c)`` with ``c`` computed once, however often ``use`` names it."""
+    return F.transform(F.array(c), use)[0]
+
+
+def _may_match(c: Column) -> list[Column]:
+    """Per secret rule: a plain substring test that no match can fail.
+
+    Matching text has a rule's word in it, but for the three letters that fold
+    to ``s`` and ``i`` in a pattern and not in ``lower``.
+    """
+    lowered = F.lower(c)
+    words = [lowered.contains(word) for word in V.SECRET_WORDS]
+    folded = [c.contains(letter) for letter in V.ODD_FOLDING]
+    assigned = c.contains("=") | c.contains(":")
+    return [assigned & reduce(or_, words + folded)] + [c.contains(x) for x in V.KEY_PREFIXES]
+
+
 def redact_secrets(c: Column | str) -> Column:
-    return reduce(
-        lambda done, rule: F.regexp_replace(done, rule[0], rule[1]), V.SECRET_RULES, col(c)
-    )
+    """Replace what looks like a secret, rule after rule.
+
+    The patterns run only where a substring test on the untouched text allows a
+    match; a replacement never makes one for a later rule.
+    """
+
+    def rules(given: Column) -> Column:
+        return reduce(
+            lambda done, step: F.when(step[0], F.regexp_replace(done, *step[1])).otherwise(done),
+            zip(_may_match(given), V.SECRET_RULES),
+            given,
+        )
+
+    return bound(col(c), rules)
 
 
 def secret_hits(c: Column | str) -> Column:
     """How many matches of each rule the untouched text holds, in rule order."""
-    return F.array(*[F.regexp_count(col(c), F.lit(pattern)) for pattern, _ in V.SECRET_RULES])
+    return bound(
+        col(c),
+        lambda given: F.array(*[
+            F.when(likely, F.regexp_count(given, F.lit(pattern))).otherwise(0)
+            for likely, (pattern, _) in zip(_may_match(given), V.SECRET_RULES)
+        ]),
+    )
 
 
 def _replace_markers(c: Column, by: str) -> Column:

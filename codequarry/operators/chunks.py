@@ -16,16 +16,19 @@ from codequarry.functions.vectors import norm
 HASHED_WIDTH = 384
 
 
+def _title(kind: Column | str, name: Column | str) -> Column:
+    return F.concat(F.lit("# "), text.col(kind), F.lit(": "), text.col(name))
+
+
 def chunk_text(
     kind: Column | str, name: Column | str, path: Column | str,
     signature: Column | str, docstring: Column | str, content: Column | str,
 ) -> Column:
     """Labelled lines of an entity, empty ones left out, before the cut."""
     labelled = lambda label, c: F.concat(F.lit(label), text.blank_to_null(c))
-    title = F.concat(F.lit("# "), text.col(kind), F.lit(": "), text.col(name))
     return F.concat_ws(
         "\n",
-        title,
+        _title(kind, name),
         labelled("File: ", path),
         labelled("Signature: ", signature),
         labelled("Docstring: ", docstring),
@@ -41,7 +44,9 @@ def chunk_rows(entities_df: DataFrame) -> DataFrame:
     """
     whole = chunk_text("entity_type", "name", "file_path", "signature", "docstring", "content")
     rows = entities_df.filter(F.col("entity_type") != "Import").withColumn("_whole", whole)
-    rows = rows.filter(F.length(text.strip("_whole")) >= V.MIN_CHUNK_CHARS)
+    # The title alone is nearly always long enough; only else is the rest built.
+    enough = lambda c: F.length(text.strip(c)) >= V.MIN_CHUNK_CHARS
+    rows = rows.filter(enough(_title("entity_type", "name")) | enough("_whole"))
     return rows.select(
         "id",
         "repository_id",

@@ -8,11 +8,13 @@ need a shuffle to be unique.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from codequarry import schemas
 from codequarry.functions import identity, paths, text
@@ -22,7 +24,6 @@ Visitor = Callable[[str], Iterable[dict]]
 
 _VISITORS: dict[str, Visitor] = {}
 _SUFFIXES: dict[str, str] = {}
-_FACT_COLUMNS = schemas.FACTS.fieldNames()
 # Facts handed back at a time, so that a batch of big files stays small.
 _ROWS_OUT = 4096
 
@@ -48,46 +49,63 @@ def language_of(path: Column | str) -> Column:
 register_language("python", [".py"], python_facts)
 
 
-def _file_rows(repository_id: str, rel_path: str, language: str, source: str, visitors):
+class _Columns:
+    """Facts as column lists, handed on as one Arrow batch."""
+
+    def __init__(self, schema: pa.Schema):
+        self.schema = schema
+        self.lists: dict[str, list] = {name: [] for name in schema.names}
+
+    def __len__(self) -> int:
+        return len(self.lists["ordinal"])
+
+    def add(self, fact: dict, **more) -> None:
+        for name, values in self.lists.items():
+            values.append(more[name] if name in more else fact.get(name))
+
+    def batch(self) -> pa.RecordBatch:
+        arrays = [pa.array(self.lists[field.name], field.type) for field in self.schema]
+        return pa.RecordBatch.from_arrays(arrays, schema=self.schema)
+
+
+def _add_file(columns: _Columns, repository_id: str, rel_path: str, found: Iterable[dict]) -> None:
+    """Add the facts of one file, marking what its earlier facts already named."""
     seen: set[tuple] = set()
     inherited: set[tuple] = set()
-    for ordinal, fact in enumerate(visitors[language](source)):
+    for ordinal, fact in enumerate(found):
         key = (fact["kind"], fact.get("name"), fact.get("owner"))
-        bases = []
-        for base in fact.get("bases") or ():
-            link = (fact["name"], base)
-            bases.append({"name": base, "repeated": link in inherited})
-            inherited.add(link)
-        yield {
-            **fact,
-            "repository_id": repository_id, "rel_path": rel_path, "ordinal": ordinal,
-            "bases": bases, "repeated": key in seen,
-        }
+        bases = None
+        if fact.get("bases"):
+            links = [(fact["name"], base) for base in fact["bases"]]
+            bases = []
+            for link in links:
+                bases.append({"name": link[1], "repeated": link in inherited})
+                inherited.add(link)
+        columns.add(
+            fact, repository_id=repository_id, rel_path=rel_path, ordinal=ordinal,
+            bases=bases, repeated=key in seen,
+        )
         seen.add(key)
 
 
-def _visit(visitors: dict[str, Visitor]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows: list[dict] = []
+def _visit(visitors: dict[str, Visitor], schema: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Syntax trees hold no cycles; scanning them for some costs half the time.
+        gc.disable()
+        columns = _Columns(schema)
         for batch in batches:
-            columns = (batch.repository_id, batch.rel_path, batch.language, batch.source)
-            for repository_id, rel_path, language, source in zip(*columns):
-                rows.extend(_file_rows(repository_id, rel_path, language, source, visitors))
-                if len(rows) >= _ROWS_OUT:
-                    yield _frame(rows)
-                    rows = []
-        if rows:
-            yield _frame(rows)
+            for repository_id, rel_path, language, source in zip(*(c.to_pylist() for c in batch.columns)):
+                _add_file(columns, repository_id, rel_path, visitors[language](source))
+                if len(columns) >= _ROWS_OUT:
+                    yield columns.batch()
+                    columns = _Columns(schema)
+            gc.collect(0)
+        if len(columns):
+            yield columns.batch()
 
     return run
 
 
-def _frame(rows: list[dict]) -> pd.DataFrame:
-    frame = pd.DataFrame.from_records(rows).reindex(columns=_FACT_COLUMNS)
-    frame = frame.astype(object)
-    return frame.where(frame.notna(), None)
-
-
 def facts(files: DataFrame) -> DataFrame:
     """Raw facts of eligible files (``repository_id, rel_path, content``)."""
     wanted = files.select(
@@ -96,7 +114,7 @@ def facts(files: DataFrame) -> DataFrame:
         language_of("rel_path").alias("language"),
         paths.text_of("content").alias("source"),
     ).filter(F.col("language").isNotNull())
-    return wanted.mapInPandas(_visit(dict(_VISITORS)), schemas.FACTS)
+    return wanted.mapInArrow(_visit(dict(_VISITORS), to_arrow_schema(schemas.FACTS)), schemas.FACTS)
 
 
 def parse_errors(facts_df: DataFrame) -> DataFrame:

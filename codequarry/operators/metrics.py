@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from codequarry import fixed_values as V
 from codequarry.limits import DEFAULT_LIMITS
-from codequarry.operators.relational import attach, first_wins, top_n  # noqa: F401
+from codequarry.operators.relational import top_n
 
 
 def counters(samples: DataFrame, metric: str = "metric", value: str = "value") -> DataFrame:
@@ -88,20 +90,26 @@ def _with_recent(moments: DataFrame, span: int) -> DataFrame:
     """Add ``recent``: requests of the client in (t - span, t].
 
     Time is cut into buckets four spans wide, each also given the last span of
-    the bucket before it, so a busy client is spread over its buckets.
+    the bucket before it, so a busy client is spread over its buckets. Inside a
+    bucket a request counts up when it comes and down when it leaves the
+    window: one running sum, however many requests a window holds.
     """
     width = 4 * span
     bucket = F.floor(F.col("t") / width)
     tail = F.floor((F.col("t") + (span - 1)) / width)
-    placed = moments.withColumn(
-        "_b", F.explode(F.array_distinct(F.array(bucket, tail)))
-    ).withColumn("_own", F.col("_b") == bucket)
-    window = Window.partitionBy("client", "_b").orderBy("t").rangeBetween(-(span - 1), 0)
+    placed = moments.withColumn("bucket", F.explode(F.array_distinct(F.array(bucket, tail))))
+    own = F.col("bucket") == bucket
+    comes = F.struct(F.col("t").alias("at"), F.lit(1).alias("turn"), F.col("n").alias("d"))
+    goes = F.struct((F.col("t") + span).alias("at"), F.lit(0).alias("turn"), (-F.col("n")).alias("d"))
+    moves = placed.select("client", "bucket", "t", "n", own.alias("own"), F.inline(F.array(comes, goes)))
+    # What leaves at an instant is gone before what comes at it is counted.
+    so_far = Window.partitionBy("client", "bucket").orderBy("at", "turn").rowsBetween(
+        Window.unboundedPreceding, 0
+    )
     return (
-        placed.withColumn("recent", F.sum("n").over(window))
-        .filter("_own")
-        .withColumn("bucket", F.col("_b"))
-        .drop("_b", "_own")
+        moves.withColumn("recent", F.sum("d").over(so_far))
+        .filter(F.col("own") & (F.col("turn") == 1))
+        .select("client", "bucket", "t", "n", "recent")
     )
 
 
@@ -141,32 +149,27 @@ def _with_stretch(counted: DataFrame) -> DataFrame:
     )
 
 
-def admit_in_order(moments: pd.DataFrame, kept: deque, limit: int, span: int) -> list[int]:
-    """Admitted requests of each instant, given what the client has in its window."""
-    admitted = []
-    for t, n in zip(moments["t"].tolist(), moments["n"].tolist()):
-        while kept and kept[0] <= t - span:
-            kept.popleft()
-        room = min(n, max(limit - len(kept), 0))
-        kept.extend([t] * room)
-        admitted.append(room)
-    return admitted
+def admit(kept: deque, t: int, n: int, limit: int, span: int) -> int:
+    """How many of ``n`` requests at ``t`` are admitted; ``kept`` holds earlier ones."""
+    while kept and kept[0] <= t - span:
+        kept.popleft()
+    room = min(n, max(limit - len(kept), 0))
+    kept.extend([t] * room)
+    return room
 
 
-def _replay(limit: int, span: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _replay(limit: int, span: int, out: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, kept = None, deque()
         for batch in batches:
-            pieces = []
-            runs = (batch[["client", "stretch"]] != batch[["client", "stretch"]].shift()).any(axis=1)
-            for _, rows in batch.groupby(runs.cumsum(), sort=False):
-                key = (rows["client"].iloc[0], rows["stretch"].iloc[0])
-                if key != current:
-                    current, kept = key, deque()
-                admitted = admit_in_order(rows, kept, limit, span)
-                pieces.append(rows[["client", "t"]].assign(admitted=admitted))
-            if pieces:
-                yield pd.concat(pieces)
+            clients, stretches, times, counts = (c.to_pylist() for c in batch.columns)
+            admitted = []
+            for client, stretch, t, n in zip(clients, stretches, times, counts):
+                if (client, stretch) != current:
+                    current, kept = (client, stretch), deque()
+                admitted.append(admit(kept, t, n, limit, span))
+            columns = [batch.column(0), batch.column(2), batch.column(3), pa.array(admitted, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, schema=out)
 
     return run
 
@@ -179,27 +182,24 @@ def admitted_requests(
     """Per client and instant: requests, and how many of them are admitted.
 
     A request is admitted while fewer than ``limit`` admitted ones lie in the
-    window before it; rejected ones leave no trace. That is sequential only
-    inside an unbroken run of requests that goes over the limit at some point:
-    those runs alone are replayed, sorted, in constant memory.
+    window before it; rejected ones leave no trace. That makes each unbroken
+    run of requests sequential, and nothing more: runs are spread over tasks,
+    and read through in time order with at most ``limit`` times in memory.
     """
     span = seconds * 1_000_000
     runs = _with_stretch(_with_recent(_moments(requests, client, ts), span))
-    busiest = runs.groupBy("client", "stretch").agg(F.max("recent").alias("peak"))
-    over = busiest.filter(F.col("peak") > limit).select("client", "stretch")
-    keyed = runs.select("client", "stretch", "t", "n")
-    crowded = keyed.join(over, ["client", "stretch"], "left_semi")
-    ordered = crowded.repartition("client", "stretch").sortWithinPartitions(
-        "client", "stretch", "t"
-    )
-    client_type = requests.schema[client].dataType.simpleString()
-    replayed = ordered.mapInPandas(
-        _replay(limit, span), f"client {client_type}, t bigint, admitted bigint"
-    )
-    return keyed.join(replayed, ["client", "t"], "left").select(
-        "client", "t", F.col("n").alias("requests"),
-        F.coalesce("admitted", "n").alias("admitted"),
-    )
+    ordered = (
+        runs.select("client", "stretch", "t", "n")
+        .repartition("client", "stretch")
+        .sortWithinPartitions("client", "stretch", "t")
+    )
+    schema = T.StructType([
+        T.StructField("client", requests.schema[client].dataType),
+        T.StructField("t", T.LongType()),
+        T.StructField("requests", T.LongType()),
+        T.StructField("admitted", T.LongType()),
+    ])
+    return ordered.mapInArrow(_replay(limit, span, to_arrow_schema(schema)), schema)
 
 
 def admission_flags(

@@ -21,6 +21,7 @@ from codequarry.functions.text import head
 from codequarry.functions.vectors import NO_SCORE, NORM_GUARD, SCORE_DECIMALS
 from codequarry.limits import DEFAULT_LIMITS
 from codequarry.operators.relational import attach, top_n
+from codequarry.session import materialise
 
 # At most this many query vectors travel as a broadcast (384 wide: 24 MB).
 BROADCAST_QUERIES = 8192
@@ -72,7 +73,12 @@ def top_k(
 def hit_rows(
     hits: DataFrame, chunks: DataFrame, by: str | None = "repository_id", chunk_id: str = "id"
 ) -> DataFrame:
-    """Attach name, place and cut content to ranked hits."""
+    """Attach name, place and cut content to ranked hits.
+
+    The hits, a few per question, are written down first: the search behind
+    them then runs once.
+    """
+    hits = materialise(hits, "hits")
     on = ([by] if by else []) + [chunk_id]
     details = chunks.select(
         *on, "entity_name", "entity_type", "file_path",

@@ -17,6 +17,12 @@ _LINE_END = re.compile(rb"\r\n|\r|\n")
 # A parameter list without strings, comments or nested brackets.
 _PLAIN_PARAMETERS = re.compile(r"\s*(\([^()\[\]{}'\"#]*\))")
 _BYTE_ORDER_MARK = chr(0xFEFF)
+# One string literal without a prefix that changes its quotes' meaning.
+_ONE_LITERAL = re.compile(
+    r"""[rRbBuU]{0,2}(?:\"\"\"(?:[^"\\]|\\.|"(?!""))*\"\"\"|\'\'\'(?:[^'\\]|\\.|'(?!''))*\'\'\'"""
+    r"""|"(?!"")(?:[^"\\\n]|\\.)*"|'(?!'')(?:[^'\\\n]|\\.)*')""",
+    re.DOTALL,
+)
 _UNREADABLE = (SyntaxError, ValueError, RecursionError, MemoryError)
 
 
@@ -92,6 +98,8 @@ def _docstring(source: _Source, node) -> str | None:
     if (first.lineno, first.col_offset) != (value.lineno, value.col_offset):
         return None  # in brackets
     text = source.of(value)
+    if _ONE_LITERAL.fullmatch(text):
+        return text
     # Adjacent literals are one value to the parser but not one string here.
     strings = [t for t in _tokens(text) if t in ("string", "fstring")]
     return text if len(strings) == 1 else None

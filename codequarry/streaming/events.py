@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codequarry.limits import DEFAULT_LIMITS
-from codequarry.operators.metrics import admit_in_order
+from codequarry.operators.metrics import admit
 
 
 def metric_windows(
@@ -55,14 +55,15 @@ def admitted_requests(
             state.remove()
             return
         moments = pd.concat([batch["t"] for batch in batches]).value_counts().sort_index()
-        rows = pd.DataFrame({"t": moments.index.to_numpy(), "n": moments.to_numpy()})
         kept = deque(state.get[0]) if state.exists else deque()
-        admitted = admit_in_order(rows, kept, limit, span)
-        state.update(([int(t) for t in kept],))
-        idle = (rows["t"].iloc[-1] + span) // 1000 + 1
-        state.setTimeoutTimestamp(max(int(idle), state.getCurrentWatermarkMs() + 1))
+        pairs = list(zip(moments.index.tolist(), moments.tolist()))
+        admitted = [admit(kept, t, n, limit, span) for t, n in pairs]
+        state.update((list(kept),))
+        idle = (pairs[-1][0] + span) // 1000 + 1
+        state.setTimeoutTimestamp(max(idle, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({
-            "client": [key[0]] * len(rows), "t": rows["t"], "requests": rows["n"], "admitted": admitted,
+            "client": [key[0]] * len(pairs), "t": moments.index, "requests": moments.to_numpy(),
+            "admitted": admitted,
         })
 
     return timed.groupBy("client").applyInPandasWithState(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from codequarry.operators import chunks as chunk_ops
 from codequarry.operators import extract, graph
 from codequarry.plans import ingest, reports
-from codequarry.session import spread_scan
+from codequarry.session import materialise, spread_scan
 from registry.common import sql_entity_id, sql_redact, table
 
 KEY = "repository_id"
@@ -190,12 +190,13 @@ def extracted_module_stats(spark, d):
 
 
 def extracted_overview(spark, d):
-    return reports.overview(ingest_nodes(spark, d))
+    # A report reads its nodes several times, from a table as it would be stored.
+    return reports.overview(materialise(ingest_nodes(spark, d), "nodes"))
 
 
 def extracted_dangling(spark, d):
     """Inherited classes that no file of the repository defines."""
-    made = ingest.from_facts(_facts(spark, d))
+    made = ingest.from_facts(materialise(_facts(spark, d), "facts"))
     return graph.dangling_targets(made.edges, made.nodes).groupBy(KEY).agg(
         F.count(F.lit(1)).alias("targets"), F.sum("edges").cast("bigint").alias("edges")
     )
@@ -203,7 +204,7 @@ def extracted_dangling(spark, d):
 
 def prose_modules(spark, d):
     """Documents read as files: a module each, and the error that stops the reader."""
-    docs = table(spark, d, "documents").select(
+    docs = spread_scan(table(spark, d, "documents")).select(
         F.col("source").alias(KEY),
         F.concat(F.lit("docs/"), F.col("doc_id").cast("string"), F.lit(".py")).alias("rel_path"),
         F.col("text").cast("binary").alias("content"),
@@ -213,7 +214,7 @@ def prose_modules(spark, d):
 
 def hashed_vectors(spark, d):
     """Document vectors: width, length and whether they are unit vectors."""
-    docs = table(spark, d, "documents")
+    docs = spread_scan(table(spark, d, "documents").select("doc_id", "text"))
     made = chunk_ops.with_norm(chunk_ops.hashed_vectors(docs, "text"))
     return made.select(
         "doc_id", F.size("embedding").alias("width"), F.round("norm", 3).alias("norm")
