@@ -1,6 +1,6 @@
-"""Exact cosine top-k of many queries over all chunks.
+"""Exact top-k of many queries over all chunks, by cosine or by shared words.
 
-Vectors are scored in Arrow batches against a block of queries at a time, and a
+Chunks are scored in Arrow batches against a block of queries at a time, and a
 task hands on no more than k rows per query: pairs are never materialised. A
 query table that was counted to be small travels as a broadcast; a larger one
 meets the chunks block by block in a cogrouped shuffle.
@@ -12,9 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from codequarry.fixed_values import HIT_CHARS
 from codequarry.functions.text import head
@@ -29,6 +31,8 @@ BROADCAST_QUERIES = 8192
 CHUNK_BLOCK = 16384
 QUERY_BLOCK = 2048
 QUERY_STEP = 256
+# Scores of one batch held at once when words are counted.
+SCORES_HELD = 2_000_000
 
 
 def top_k(
@@ -41,30 +45,52 @@ def top_k(
     With ``by`` a query sees only chunks of its own key. Ties go to the lower
     id; a chunk without a usable vector scores -1 and stays in the ranking.
     """
-    k = k or DEFAULT_LIMITS.hits
-    left = chunks.select(
-        F.col(by).alias("by") if by else F.lit(0).alias("by"),
-        F.col(chunk_id).alias("id"),
-        F.col(vector).cast("array<float>").alias("v"),
-    )
-    right = queries.select(
-        F.col(by).alias("by") if by else F.lit(0).alias("by"),
-        F.col(query_id).alias("query_id"),
-        F.col(vector).cast("array<double>").alias("v"),
+    left = _side(chunks, by, chunk_id, F.col(vector).cast("array<float>"), "id")
+    right = _side(queries, by, query_id, F.col(vector).cast("array<double>"), "query_id")
+    return _ranked(_Vectors, left, right, k, by, chunk_id, query_id, broadcast_queries)
+
+
+def words_of(text: Column) -> Column:
+    """Distinct lower-case words of a text."""
+    words = F.split(F.lower(text), r"[^\p{L}\p{N}_]+")
+    return F.array_distinct(F.filter(words, lambda word: word != ""))
+
+
+def keyword_top_k(
+    chunks: DataFrame, queries: DataFrame, k: int | None = None, by: str | None = "repository_id",
+    chunk_id: str = "id", query_id: str = "query_id", chunk_text: str = "content",
+    query_text: str = "question", broadcast_queries: int = BROADCAST_QUERIES,
+) -> DataFrame:
+    """The k chunks with most of a query's distinct words; none without a match."""
+    left = _side(chunks, by, chunk_id, words_of(F.col(chunk_text)), "id")
+    right = _side(queries, by, query_id, words_of(F.col(query_text)), "query_id")
+    return _ranked(_Words, left, right, k, by, chunk_id, query_id, broadcast_queries)
+
+
+def _side(df: DataFrame, by: str | None, key: str, value: Column, name: str) -> DataFrame:
+    return df.select(
+        F.col(by).alias("by") if by else F.lit(0).alias("by"), F.col(key).alias(name), value.alias("v")
     )
+
+
+def _ranked(
+    scorer, left: DataFrame, right: DataFrame, k: int | None, by: str | None, chunk_id: str,
+    query_id: str, broadcast_queries: int,
+) -> DataFrame:
+    k = k or DEFAULT_LIMITS.hits
     schema = T.StructType([
         T.StructField("by", left.schema["by"].dataType),
         T.StructField("query_id", right.schema["query_id"].dataType),
         T.StructField("id", left.schema["id"].dataType),
         T.StructField("score", T.DoubleType()),
     ])
-    # Both the count and the rows are bounded by the limit.
+    # No more rows than the limit allows are ever fetched.
     few = right.limit(broadcast_queries + 1).toArrow()
     if few.num_rows <= broadcast_queries:
-        sent = chunks.sparkSession.sparkContext.broadcast(few)
-        hits = left.mapInArrow(_scan(sent, k, schema), schema)
+        sent = left.sparkSession.sparkContext.broadcast(few)
+        hits = left.mapInArrow(_scan(scorer, sent, k, schema), schema)
     else:
-        hits = _block_join(left, right, k, schema)
+        hits = _block_join(scorer, left, right, k, schema)
     best = top_n(hits, ["query_id"], [F.desc("score"), F.col("id")], k)
     named = best.withColumnsRenamed({"id": chunk_id, "query_id": query_id})
     return named.withColumnRenamed("by", by) if by else named.drop("by")
@@ -137,28 +163,63 @@ class _Best:
         self.rows[query] = merged[: self.k]
 
 
-def _score_block(ids, keys, vectors, usable, few: pa.Table, query_keys, query_matrix, query_ok, best):
-    """Score one batch of chunks against the queries of the same keys."""
-    for key in set(keys.unique().to_pylist()) & query_keys.keys():
-        rows = np.flatnonzero(pa.compute.equal(keys, key).fill_null(False).to_numpy(zero_copy_only=False))
-        own_ids = ids.take(pa.array(rows))
-        wanted = query_keys[key]
-        for start in range(0, len(wanted), QUERY_STEP):
-            step = wanted[start : start + QUERY_STEP]
-            table = _scores(vectors[rows], usable[rows], query_matrix[step])
-            table[~query_ok[step]] = NO_SCORE
-            for query, scores in zip(step.tolist(), table):
-                best.add(query, scores, own_ids)
-
-
-def _queries_by_key(few: pa.Table) -> tuple[dict, np.ndarray, np.ndarray, int]:
-    sizes = few["v"].combine_chunks().value_lengths().fill_null(-1).to_pylist()
-    width = max(sizes, default=0)
-    matrix, usable = _matrix(few["v"], max(width, 0))
+def _queries_of_key(few: pa.Table) -> dict[object, np.ndarray]:
     by_key: dict[object, list[int]] = {}
     for position, key in enumerate(few["by"].to_pylist()):
         by_key.setdefault(key, []).append(position)
-    return {key: np.array(rows) for key, rows in by_key.items()}, matrix, usable, max(width, 0)
+    return {key: np.array(rows) for key, rows in by_key.items()}
+
+
+class _Vectors:
+    """A block of query vectors, ready to score batches of chunk vectors."""
+
+    def __init__(self, few: pa.Table):
+        sizes = few["v"].combine_chunks().value_lengths().fill_null(0).to_pylist()
+        self.width = max(sizes, default=0)
+        self.matrix, self.usable = _matrix(few["v"], self.width)
+        self.by_key = _queries_of_key(few)
+
+    def add(self, keys: pa.Array, ids: pa.Array, column: pa.Array, best: _Best) -> None:
+        vectors, usable = _matrix(column, self.width)
+        for key in set(keys.unique().to_pylist()) & self.by_key.keys():
+            rows = _rows_of(keys, key)
+            own_ids = ids.take(pa.array(rows))
+            wanted = self.by_key[key]
+            for start in range(0, len(wanted), QUERY_STEP):
+                step = wanted[start : start + QUERY_STEP]
+                table = _scores(vectors[rows], usable[rows], self.matrix[step])
+                table[~self.usable[step]] = NO_SCORE
+                for query, scores in zip(step.tolist(), table):
+                    best.add(query, scores, own_ids)
+
+
+class _Words:
+    """The words of a block of queries, ready to count them in batches of chunks."""
+
+    def __init__(self, few: pa.Table):
+        self.queries = few.num_rows
+        self.asking: dict[tuple, list[int]] = {}
+        for query, (key, words) in enumerate(zip(few["by"].to_pylist(), few["v"].to_pylist())):
+            for word in words or ():
+                self.asking.setdefault((key, word), []).append(query)
+
+    def add(self, keys: pa.Array, ids: pa.Array, column: pa.Array, best: _Best) -> None:
+        rows = max(1, SCORES_HELD // max(self.queries, 1))
+        for start in range(0, len(ids), rows):
+            part = zip(keys.slice(start, rows).to_pylist(), column.slice(start, rows).to_pylist())
+            found = [
+                [q for word in words or () for q in self.asking.get((key, word), ())]
+                for key, words in part
+            ]
+            table = np.array([np.bincount(f, minlength=self.queries) for f in found], dtype=float)
+            for query in np.flatnonzero(table.any(axis=0)).tolist():
+                hit = np.flatnonzero(table[:, query])
+                best.add(query, table[hit, query], ids.take(pa.array(start + hit)))
+
+
+def _rows_of(keys: pa.Array, key) -> np.ndarray:
+    same = pc.fill_null(pc.equal(keys, key), False)
+    return np.flatnonzero(same.to_numpy(zero_copy_only=False))
 
 
 def _result(best: _Best, few: pa.Table, schema: pa.Schema) -> pa.Table:
@@ -172,27 +233,14 @@ def _result(best: _Best, few: pa.Table, schema: pa.Schema) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def _arrow_schema(schema: T.StructType) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return to_arrow_schema(schema)
-
-
-def _scan(broadcast, k: int, schema: T.StructType):
-    out = _arrow_schema(schema)
+def _scan(scorer, broadcast, k: int, schema: T.StructType):
+    out = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute  # noqa: F401
-
         few = broadcast.value
-        query_keys, query_matrix, query_ok, width = _queries_by_key(few)
-        best = _Best(k)
+        block, best = scorer(few), _Best(k)
         for batch in batches:
-            vectors, usable = _matrix(batch.column("v"), width)
-            _score_block(
-                batch.column("id"), batch.column("by"), vectors, usable,
-                few, query_keys, query_matrix, query_ok, best,
-            )
+            block.add(batch.column("by"), batch.column("id"), batch.column("v"), best)
         yield from _result(best, few, out).to_batches()
 
     return run
@@ -205,7 +253,9 @@ def _blocks(df: DataFrame, size: int, id_column: str, count: str) -> DataFrame:
     )
 
 
-def _block_join(left: DataFrame, right: DataFrame, k: int, schema: T.StructType) -> DataFrame:
+def _block_join(
+    scorer, left: DataFrame, right: DataFrame, k: int, schema: T.StructType
+) -> DataFrame:
     """Every block of chunks meets every block of queries of its key once.
 
     Both sides are cut by id hash into blocks of bounded size, so no group
@@ -226,19 +276,13 @@ def _block_join(left: DataFrame, right: DataFrame, k: int, schema: T.StructType)
         own("query_id", "n_query_blocks").alias("qb"),
         F.explode(every("n_chunk_blocks")).alias("cb"),
     )
-    out = _arrow_schema(schema)
+    out = to_arrow_schema(schema)
 
     def score(chunk_block: pa.Table, query_block: pa.Table) -> pa.Table:
-        import pyarrow.compute  # noqa: F401
-
         best = _Best(k)
         if chunk_block.num_rows and query_block.num_rows:
-            query_keys, query_matrix, query_ok, width = _queries_by_key(query_block)
-            vectors, usable = _matrix(chunk_block["v"], width)
-            _score_block(
-                chunk_block["id"].combine_chunks(), chunk_block["by"].combine_chunks(),
-                vectors, usable, query_block, query_keys, query_matrix, query_ok, best,
-            )
+            columns = (chunk_block[name].combine_chunks() for name in ("by", "id", "v"))
+            scorer(query_block).add(*columns, best)
         return _result(best, query_block, out)
 
     key = ["by", "cb", "qb"]

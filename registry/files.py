@@ -119,6 +119,14 @@ def binary_files(spark, d):
     )
 
 
+# A header is not UTF-8 only where it ends inside a character.
+_CUT = "coalesce(substr(hex(encode(text)), 2 * {at} + 1, 2) BETWEEN '80' AND 'BF', FALSE)"
+BINARY_SQL = f"""
+SELECT doc_id, {_CUT.format(at=8192)} AS as_is, TRUE AS utf16, {_CUT.format(at=8192 - 201)} AS few_nuls,
+  FALSE AS forgiving FROM documents
+"""
+
+
 def repository_limits(spark, d):
     return file_ops.repository_sizes(document_files(spark, d), LIMITS)
 
@@ -204,7 +212,7 @@ QUERIES = {
     "file_skip_counts": (file_skip_counts, SKIP_COUNTS_SQL),
     "eligible_files": (eligible_files, ELIGIBLE_SQL),
     "eligible_counts": (eligible_counts, ELIGIBLE_COUNTS_SQL),
-    "binary_files": (binary_files, None),
+    "binary_files": (binary_files, BINARY_SQL),
     "repository_limits": (repository_limits, LIMITS_SQL),
     "files_within_limits": (files_within_limits, WITHIN_SQL),
     "capped_files": (capped_files, CAP_SQL),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from codequarry.functions.vectors import cosine, norm
 from codequarry.operators import search
 from codequarry.sources import vector_bytes
+from codequarry.session import spread_scan
 from registry.common import table
 
 K = 8
@@ -68,6 +69,24 @@ def vector_topk_blocks(spark, d):
     ))
 
 
+def keyword_topk(spark, d):
+    """Documents that share most words with each benchmark item."""
+    docs = spread_scan(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"))
+    items = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
+    hits = search.keyword_top_k(docs, items, 5, by=None, chunk_text="text")
+    return hits.withColumn("score", F.col("score").cast("bigint"))
+
+
+_WORDS = r"unnest(list_distinct(regexp_split_to_array(lower(text), '[^\p{L}\p{N}_]+')))"
+KEYWORD_SQL = f"""
+WITH d AS (SELECT doc_id AS id, {_WORDS} AS word FROM documents),
+q AS (SELECT item_id AS query_id, {_WORDS} AS word FROM benchmark),
+scored AS (SELECT query_id, id, count(*) AS score FROM q JOIN d USING (word) WHERE word <> '' GROUP BY 1, 2)
+SELECT query_id, id, score, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id))::INTEGER AS rank
+FROM scored QUALIFY rank <= 5
+"""
+
+
 def label_scores(spark, d):
     """Cosine as a column: each vector against the mean vector of its label."""
     vectors = table(spark, d, "embeddings").withColumn("n", norm("embedding"))
@@ -95,6 +114,7 @@ QUERIES = {
         vector_topk_by_repository, _ranked("WHERE label = query_id", "label AS repository_id,"),
     ),
     "vector_topk_blocks": (vector_topk_blocks, _ranked("", "")),
+    "keyword_topk": (keyword_topk, KEYWORD_SQL),
     "label_scores": (
         label_scores,
         _SCORED + "SELECT id AS vec_id, label, round(score, 6) AS score FROM scored WHERE label = query_id",

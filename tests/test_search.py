@@ -56,6 +56,27 @@ def test_top_k_is_exact(spark, data, keyed, form, monkeypatch):
     assert found == model(chunks, queries, 7, keyed)
 
 
+@pytest.mark.parametrize("form", ["broadcast", "blocks"])
+def test_keywords_are_exact(spark, form, monkeypatch):
+    monkeypatch.setattr(search, "CHUNK_BLOCK", 20)
+    monkeypatch.setattr(search, "QUERY_BLOCK", 2)
+    rng = np.random.default_rng(9)
+    word = lambda n: " ".join(f"w{i}" for i in rng.integers(0, 30, n))
+    chunks = [(i, f"r{i % 2}", "The, THE the! " + word(6)) for i in range(120)]
+    queries = [(1, "r0", "the " + word(3)), (2, "r1", word(5)), (3, "r1", "absent"), (4, "r0", "w1 W1 w1")]
+    want = []
+    for q, key, text in queries:
+        words = set(text.lower().split())
+        scored = [(-len(words & set(c.lower().replace(",", "").replace("!", "").split())), i)
+                  for i, other, c in chunks if other == key]
+        want += [(q, i, float(-s), n + 1) for n, (s, i) in enumerate(sorted(x for x in scored if x[0])[:6])]
+    got = search.keyword_top_k(
+        spark.createDataFrame(chunks, "id int, repository_id string, content string").repartition(3),
+        spark.createDataFrame(queries, "query_id int, repository_id string, question string"), 6,
+        broadcast_queries=0 if form == "blocks" else 10)
+    assert sorted((r.query_id, r.id, r.score, r["rank"]) for r in got.collect()) == sorted(want)
+
+
 @pytest.mark.parametrize("k,rows", [(None, 8), (0, 8), (1, 1), (10_000, 454)])
 def test_k(spark, data, k, rows):
     chunks, queries = data
