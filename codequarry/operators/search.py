@@ -25,11 +25,14 @@ from codequarry.limits import DEFAULT_LIMITS
 from codequarry.operators.relational import attach, top_n
 from codequarry.session import materialise
 
-# At most this many query vectors travel as a broadcast (384 wide: 24 MB).
+# Queries travel as a broadcast up to this many, and up to this size.
 BROADCAST_QUERIES = 8192
-# Sizes of one block pair in the shuffled form and of one product in memory.
+BROADCAST_BYTES = 64 * 1024 * 1024
+# Rows of one block pair in the shuffled form (vectors; word lists are longer
+# and come in blocks of an eighth), and queries of one product in memory.
 CHUNK_BLOCK = 16384
 QUERY_BLOCK = 2048
+WORD_BLOCKS = 8
 QUERY_STEP = 256
 # Scores of one batch held at once when words are counted.
 SCORES_HELD = 2_000_000
@@ -84,10 +87,11 @@ def _ranked(
         T.StructField("id", left.schema["id"].dataType),
         T.StructField("score", T.DoubleType()),
     ])
-    # No more rows than the limit allows are ever fetched.
-    few = right.limit(broadcast_queries + 1).toArrow()
-    if few.num_rows <= broadcast_queries:
-        sent = left.sparkSession.sparkContext.broadcast(few)
+    # Measured before anything is fetched.
+    head_rows = right.limit(broadcast_queries + 1)
+    measured = head_rows.agg(F.count(F.lit(1)), F.sum(scorer.weight(F.col("v")))).first()
+    if measured[0] <= broadcast_queries and (measured[1] or 0) <= BROADCAST_BYTES:
+        sent = left.sparkSession.sparkContext.broadcast(right.toArrow())
         hits = left.mapInArrow(_scan(scorer, sent, k, schema), schema)
     else:
         hits = _block_join(scorer, left, right, k, schema)
@@ -173,6 +177,12 @@ def _queries_of_key(few: pa.Table) -> dict[object, np.ndarray]:
 class _Vectors:
     """A block of query vectors, ready to score batches of chunk vectors."""
 
+    blocks_per_block = 1
+
+    @staticmethod
+    def weight(v: Column) -> Column:
+        return F.size(v) * 8
+
     def __init__(self, few: pa.Table):
         sizes = few["v"].combine_chunks().value_lengths().fill_null(0).to_pylist()
         self.width = max(sizes, default=0)
@@ -196,6 +206,12 @@ class _Vectors:
 class _Words:
     """The words of a block of queries, ready to count them in batches of chunks."""
 
+    blocks_per_block = WORD_BLOCKS
+
+    @staticmethod
+    def weight(v: Column) -> Column:
+        return F.octet_length(F.array_join(v, "        "))
+
     def __init__(self, few: pa.Table):
         self.queries = few.num_rows
         self.asking: dict[tuple, list[int]] = {}
@@ -246,7 +262,7 @@ def _scan(scorer, broadcast, k: int, schema: T.StructType):
     return run
 
 
-def _blocks(df: DataFrame, size: int, id_column: str, count: str) -> DataFrame:
+def _blocks(df: DataFrame, size: int, count: str) -> DataFrame:
     """Number of blocks of each key, so that one holds about ``size`` rows."""
     return df.groupBy("by").agg(
         F.ceil(F.count(F.lit(1)) / size).cast("int").alias(count)
@@ -261,8 +277,8 @@ def _block_join(
     Both sides are cut by id hash into blocks of bounded size, so no group
     grows with a key, and copies are sent per block, not per pair.
     """
-    chunk_blocks = _blocks(left, CHUNK_BLOCK, "id", "n_chunk_blocks")
-    query_blocks = _blocks(right, QUERY_BLOCK, "query_id", "n_query_blocks")
+    chunk_blocks = _blocks(left, max(1, CHUNK_BLOCK // scorer.blocks_per_block), "n_chunk_blocks")
+    query_blocks = _blocks(right, max(1, QUERY_BLOCK // scorer.blocks_per_block), "n_query_blocks")
     sizes = chunk_blocks.join(query_blocks, "by")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     own = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from codequarry.functions.vectors import cosine, norm
 from codequarry.operators import search
+from codequarry.operators.relational import attach
 from codequarry.sources import vector_bytes
 from codequarry.session import spread_scan
 from registry.common import table
@@ -92,8 +93,7 @@ def label_scores(spark, d):
     vectors = table(spark, d, "embeddings").withColumn("n", norm("embedding"))
     means = mean_vectors(spark, d).select(F.col("query_id").alias("label"), F.col("embedding").alias("q"))
     score = cosine("embedding", "q", F.col("n"))
-    # One row per label, as many as labels exist.
-    return vectors.join(means, "label").select("vec_id", "label", F.round(score, 6).alias("score"))
+    return attach(vectors, means, ["label"], "inner").select("vec_id", "label", F.round(score, 6).alias("score"))
 
 
 def vector_widths(spark, d):
