@@ -88,8 +88,7 @@ def _ranked(
         T.StructField("score", T.DoubleType()),
     ])
     # Measured before anything is fetched.
-    head_rows = right.limit(broadcast_queries + 1)
-    measured = head_rows.agg(F.count(F.lit(1)), F.sum(scorer.weight(F.col("v")))).first()
+    measured = right.agg(F.count(F.lit(1)), F.sum(scorer.weight(F.col("v")))).first()
     if measured[0] <= broadcast_queries and (measured[1] or 0) <= BROADCAST_BYTES:
         sent = left.sparkSession.sparkContext.broadcast(right.toArrow())
         hits = left.mapInArrow(_scan(scorer, sent, k, schema), schema)
