@@ -34,6 +34,10 @@ CHUNK_BLOCK = 16384
 QUERY_BLOCK = 2048
 WORD_BLOCKS = 8
 QUERY_STEP = 256
+# Rows with a cut text that may be broadcast (about 2 KB each).
+WIDE_ROWS = 10_000
+# More than rounding can move two scores against each other.
+ROUNDING = 2 * 10.0**-SCORE_DECIMALS
 # Scores of one batch held at once when words are counted.
 SCORES_HELD = 2_000_000
 
@@ -116,7 +120,8 @@ def hit_rows(
     # A few hits per question against all chunks: the hits are the small side.
     wanted = hits.select(*on).distinct()
     picked = attach(details, wanted.withColumn("_hit", F.lit(True)), on, "inner").drop("_hit")
-    return hits.join(picked, on)
+    # One chunk may be the hit of many questions; its text makes a row wide.
+    return attach(hits, picked, on, "inner", WIDE_ROWS)
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -139,30 +144,38 @@ def _scores(vectors: np.ndarray, usable: np.ndarray, queries: np.ndarray) -> np.
         raw = queries @ vectors.T / (np.outer(query_norms, norms) + NORM_GUARD)
     raw[:, ~usable] = NO_SCORE
     raw[np.isnan(raw)] = NO_SCORE
-    return np.round(raw, SCORE_DECIMALS)
+    return raw
 
 
 class _Best:
-    """Running k best (score, id) of each query of a task."""
+    """Running k best (score, id) of each query of a task.
+
+    Scores compare rounded; what may still round up to the k-th stays in play.
+    """
 
     def __init__(self, k: int):
         self.k = k
         self.rows: dict[int, list[tuple[float, object]]] = {}
 
-    def add(self, query: int, scores: np.ndarray, ids: pa.Array) -> None:
-        known = self.rows.get(query, [])
-        if len(scores) > self.k:
+    def floors(self, queries: np.ndarray) -> np.ndarray:
+        """Score below which a row cannot enter, per query."""
+        kept = (self.rows.get(query, ()) for query in queries.tolist())
+        return np.array([
+            rows[-1][0] - ROUNDING if len(rows) == self.k else -np.inf for rows in kept
+        ])
+
+    def add(self, query: int, scores: np.ndarray, ids: pa.Array, floor: float = -np.inf) -> None:
+        positions = np.flatnonzero(scores >= floor)
+        if len(positions) > 2 * self.k:
             # Everything that ties with the k-th score stays until ids decide.
-            floor = np.partition(scores, -self.k)[-self.k]
-            if len(known) == self.k:
-                floor = max(floor, known[-1][0])
-            positions = np.flatnonzero(scores >= floor)
-        else:
-            positions = np.arange(len(scores))
+            above = scores[positions]
+            floor = np.partition(above, -self.k)[-self.k] - ROUNDING
+            positions = positions[above >= floor]
         if len(positions) == 0:
             return
-        found = zip(scores[positions].tolist(), ids.take(pa.array(positions)).to_pylist())
-        merged = sorted([*known, *found], key=lambda row: (-row[0], row[1]))
+        rounded = np.round(scores[positions], SCORE_DECIMALS).tolist()
+        found = zip(rounded, ids.take(pa.array(positions)).to_pylist())
+        merged = sorted([*self.rows.get(query, ()), *found], key=lambda row: (-row[0], row[1]))
         self.rows[query] = merged[: self.k]
 
 
@@ -198,8 +211,9 @@ class _Vectors:
                 step = wanted[start : start + QUERY_STEP]
                 table = _scores(vectors[rows], usable[rows], self.matrix[step])
                 table[~self.usable[step]] = NO_SCORE
-                for query, scores in zip(step.tolist(), table):
-                    best.add(query, scores, own_ids)
+                floors = best.floors(step)
+                for row in np.flatnonzero(table.max(axis=1) >= floors).tolist():
+                    best.add(int(step[row]), table[row], own_ids, floors[row])
 
 
 class _Words:
