@@ -8,7 +8,6 @@ need a shuffle to be unique.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -90,8 +89,6 @@ def _add_file(columns: _Columns, repository_id: str, rel_path: str, found: Itera
 
 def _visit(visitors: dict[str, Visitor], schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Syntax trees hold no cycles; scanning them for some costs half the time.
-        gc.disable()
         columns = _Columns(schema)
         for batch in batches:
             for repository_id, rel_path, language, source in zip(*(c.to_pylist() for c in batch.columns)):
@@ -99,7 +96,6 @@ def _visit(visitors: dict[str, Visitor], schema: pa.Schema):
                 if len(columns) >= _ROWS_OUT:
                     yield columns.batch()
                     columns = _Columns(schema)
-            gc.collect(0)
         if len(columns):
             yield columns.batch()
 
