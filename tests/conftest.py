@@ -31,7 +31,3 @@ def spark():
 def sf_dir():
     return SF_DIR
 
-
-def rows(df, *order):
-    """Rows as sorted tuples."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)
