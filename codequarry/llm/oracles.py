@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from codequarry.llm import mixing, rules
+from codequarry.llm import secrets as S
 
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -104,3 +105,59 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) - count(*) FILTER (WHERE o
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE o.key IS NULL), '')) AS kept_sha256
 FROM k LEFT JOIN often o ON k.key = o.key GROUP BY rid, doc_id
 """
+
+
+def _sql_secrets() -> str:
+    def quoted(pattern: str) -> str:
+        return "'" + pattern.replace("'", "''") + "'"
+
+    places = []
+    kinds = [
+        (S.KINDS[0], S.ASSIGN, 2, f"length(v) >= {S.MIN_VALUE}"),
+        (S.KINDS[1], S.ACCESS, 0, f"length(m) >= {S.MIN_ACCESS}"),
+        (S.KINDS[2], S.HEX, 0, f"length(m) >= {S.MIN_HEX}"),
+    ] + [(c.kind, c.pattern, 0, " AND ".join(
+        [f"regexp_matches(m, {quoted(c.must)})"] + [f"NOT regexp_matches(m, {quoted(a)})" for a in S.ALLOW]))
+        for c in S.CLASSES]
+    for rank, (kind, pattern, group, keep) in enumerate(kinds):
+        p = quoted(pattern)
+        places.append(f"""
+  SELECT rid, {rank} AS rank, '{kind}' AS kind, s, s + length(m) AS e, m FROM (
+    SELECT rid, m, v, (list_sum(list_transform(g[1:i], lambda x: length(x)))
+             + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0))::BIGINT AS s
+    FROM (SELECT rid, g, ms, unnest(ms) AS m, unnest(vs) AS v, unnest(range(1, len(ms) + 1)) AS i
+          FROM (SELECT rid, string_split_regex(t, {p}) AS g, regexp_extract_all(t, {p}) AS ms,
+                       regexp_extract_all(t, {p}, {group}) AS vs FROM d)))
+  WHERE {keep}""")
+    weights = ", ".join(str(S.weight(n)) for n in range(max(c.window for c in S.CLASSES) + 1))
+    sized = " ".join(f"WHEN '{c.kind}' THEN {c.window}" for c in S.CLASSES)
+    bounds = " ".join(f"WHEN '{c.kind}' THEN {S.bound(c)}" for c in S.CLASSES)
+    joined = "coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e)"
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
+), p AS ({' UNION ALL '.join(places)}
+), w AS (
+  SELECT rid, rank, kind, s, m, n, bound, unnest(range(0, length(m) - n + 1)) AS i
+  FROM (SELECT *, CASE kind {sized} END AS n, CASE kind {bounds} END AS bound FROM p WHERE rank >= {len(S.KINDS)})
+), ch AS (
+  SELECT rid, rank, kind, s, m, n, bound, i, substr(m, i + j + 1, 1) AS c
+  FROM (SELECT *, unnest(range(0, n)) AS j FROM w)
+), cc AS (
+  SELECT rid, rank, kind, s, n, bound, i, c, count(*) AS k FROM ch GROUP BY ALL
+), high AS (
+  SELECT rid, rank, kind, s, n, i FROM cc GROUP BY rid, rank, kind, s, n, bound, i
+  HAVING sum(([{weights}]::BIGINT[])[k + 1]) <= bound
+), f AS (
+  SELECT rid, rank, kind, s, e FROM p WHERE rank < {len(S.KINDS)}
+  UNION ALL
+  SELECT rid, rank, kind, (s + min(i))::BIGINT, (s + max(i) + n)::BIGINT FROM high GROUP BY rid, rank, kind, s, n
+)
+SELECT doc_id, count(*) FILTER (WHERE rank = 0)::BIGINT AS n_assign, count(*) FILTER (WHERE rank = 1)::BIGINT AS n_access,
+       count(*) FILTER (WHERE rank = 2)::BIGINT AS n_hex,
+       sha256({joined} FILTER (WHERE rank < {len(S.KINDS)}), '')) AS base_sha256, {joined}, '') AS spans
+FROM d LEFT JOIN f USING (rid) GROUP BY rid, doc_id
+"""
+
+
+SECRET_SCAN = _sql_secrets()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codequarry.llm import lines, mixing, rules
+from codequarry.llm import licences, lines, mixing, rules, secrets
 from codequarry.llm import oracles as SQL
 
 
@@ -24,6 +24,22 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "secrets.n_assign", "secrets.n_access", "secrets.n_hex",
+        F.sha2(F.col("secrets.base_text").cast("binary"), 256).alias("base_sha256"),
+        F.col("secrets.spans_text").alias("spans"))
+
+
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", *[f"licence.{c}" for c in ("n_words", "n_base", "first_word", "last_word")],
+        F.array_join("licence.base_labels", ",").alias("base_labels"), F.array_join("licence.labels", ",").alias("labels"),
+        "licence.score")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = lines.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
@@ -33,5 +49,8 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_source_mix": (op3_source_mix, SQL.SOURCE_MIX),
     "op4_quality_rules": (op4_quality_rules, SQL.QUALITY_RULES),
+    "op6_secret_scan": (op6_secret_scan, SQL.SECRET_SCAN),
+    # Bounded-error matching has no SQL: tested against edit distances.
+    "op8_licence_scan": (op8_licence_scan, None),
     "op9_line_dedup": (op9_line_dedup, SQL.LINE_DEDUP),
 }
