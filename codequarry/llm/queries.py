@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codequarry.llm import licences, lines, mixing, rules, secrets
+from codequarry.llm import katz, licences, lines, mixing, rules, secrets
 from codequarry.llm import oracles as SQL
 
 
@@ -13,6 +13,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(_table(spark, sf_dir, "documents"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -47,6 +51,8 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    # Tested against a plain model and its sums to one; the base score against SQL in tests.
+    "op1_katz_scores": (op1_katz_scores, None),
     "op3_source_mix": (op3_source_mix, SQL.SOURCE_MIX),
     "op4_quality_rules": (op4_quality_rules, SQL.QUALITY_RULES),
     "op6_secret_scan": (op6_secret_scan, SQL.SECRET_SCAN),

@@ -24,6 +24,13 @@ class WorkTables:
         self.paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def partitioned(self, df: DataFrame, name: str, column: str) -> DataFrame:
+        """A table with one folder for each value of ``column``."""
+        path = work_path(self.spark, name)
+        df.write.mode("overwrite").partitionBy(column).parquet(path)
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def drop(self, *names: str) -> None:
         for name in names:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
