@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codequarry.llm import katz, licences, lines, mixing, rules, secrets
+from codequarry.llm import katz, licences, lines, mixing, nearjoin, rules, secrets
 from codequarry.llm import oracles as SQL
 
 
@@ -50,6 +50,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearjoin.join(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies")
+
+
 QUERIES = {
     # Tested against a plain model and its sums to one; the base score against SQL in tests.
     "op1_katz_scores": (op1_katz_scores, None),
@@ -59,4 +63,6 @@ QUERIES = {
     # Bounded-error matching has no SQL: tested against edit distances.
     "op8_licence_scan": (op8_licence_scan, None),
     "op9_line_dedup": (op9_line_dedup, SQL.LINE_DEDUP),
+    # Tested against all pairs.
+    "op10_ngram_join": (op10_ngram_join, None),
 }
