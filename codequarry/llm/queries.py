@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codequarry.llm import katz, licences, lines, mixing, nearjoin, rules, secrets
+from codequarry.llm import decontaminate, katz, licences, lines, mixing, nearjoin, rules, secrets
 from codequarry.llm import oracles as SQL
 
 
@@ -28,6 +28,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select(
+        "doc_id", "leak.item_id", F.round("leak.score", 6).alias("score"), "leak.first_word", "leak.last_word")
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
@@ -59,6 +65,8 @@ QUERIES = {
     "op1_katz_scores": (op1_katz_scores, None),
     "op3_source_mix": (op3_source_mix, SQL.SOURCE_MIX),
     "op4_quality_rules": (op4_quality_rules, SQL.QUALITY_RULES),
+    # Tested against full alignment tables.
+    "op5_decontamination": (op5_decontamination, None),
     "op6_secret_scan": (op6_secret_scan, SQL.SECRET_SCAN),
     # Bounded-error matching has no SQL: tested against edit distances.
     "op8_licence_scan": (op8_licence_scan, None),
