@@ -161,3 +161,25 @@ FROM d LEFT JOIN f USING (rid) GROUP BY rid, doc_id
 
 
 SECRET_SCAN = _sql_secrets()
+
+# Windows are compared as hashes of their words; each row is a document of its own.
+SUBSTRING_DEDUP = f"""
+WITH d AS (
+  SELECT row_number() OVER (ORDER BY doc_id NULLS LAST) AS rid, doc_id, {_WORDS} AS words FROM documents
+), w AS (
+  SELECT rid, i, md5(array_to_string(words[i:i + 19], ' ')) AS win
+  FROM (SELECT rid, words, unnest(range(1, len(words) - 18)) AS i FROM d)
+), later AS (
+  SELECT rid, i FROM (SELECT rid, i, row_number() OVER (PARTITION BY win ORDER BY rid, i) AS k FROM w) WHERE k > 1
+), gone AS (
+  SELECT DISTINCT rid, i + j AS pos FROM (SELECT rid, i, unnest(range(20)) AS j FROM later)
+), word AS (
+  SELECT rid, doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM d
+), kept AS (
+  SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS txt
+  FROM word ANTI JOIN gone USING (rid, pos) GROUP BY rid
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(txt, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codequarry.llm import decontaminate, katz, licences, lines, mixing, nearjoin, rules, secrets
+from codequarry.llm import decontaminate, katz, licences, lines, mixing, nearjoin, passages, rules, secrets
 from codequarry.llm import oracles as SQL
 
 
@@ -42,6 +42,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("secrets.spans_text").alias("spans"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = passages.dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
@@ -68,6 +73,7 @@ QUERIES = {
     # Tested against full alignment tables.
     "op5_decontamination": (op5_decontamination, None),
     "op6_secret_scan": (op6_secret_scan, SQL.SECRET_SCAN),
+    "op7_substring_dedup": (op7_substring_dedup, SQL.SUBSTRING_DEDUP),
     # Bounded-error matching has no SQL: tested against edit distances.
     "op8_licence_scan": (op8_licence_scan, None),
     "op9_line_dedup": (op9_line_dedup, SQL.LINE_DEDUP),
