@@ -130,22 +130,50 @@ def thresholds(sized: DataFrame, wanted: DataFrame) -> DataFrame:
         (F.col("size") > 0) & nearer, F.concat("prefix", F.lit("g"))).otherwise(F.col("prefix")).alias("prefix"))
 
 
+def _plan(sized: DataFrame, weights, budget: float) -> DataFrame:
+    """(s, source_size, target, copies, prefix) for each source: a small table."""
+    wanted = targets(sized.select("source", "size"), weights, MAX_COPIES, budget)
+    cut = thresholds(sized, wanted)
+    return wanted.withColumnRenamed("source", "s").join(
+        cut, F.col("source").eqNullSafe(F.col("s"))).select("s", "source_size", "target", "copies", "prefix")
+
+
+def _sized(docs: DataFrame, text: str, doc_id: str, source: str) -> DataFrame:
+    return docs.select(
+        F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source"),
+        n_words(F.col(f"`{text}`")).alias("size"), doc_hash(F.col(f"`{doc_id}`")).alias("hash"))
+
+
+def _copies() -> Column:
+    return F.least(F.col("copies") + (F.col("hash") < F.col("prefix")).cast("int"), F.lit(MAX_COPIES)).cast("long")
+
+
 def mix(
     docs: DataFrame, weights=WEIGHTS, budget: float = 1.0, text: str = "text", doc_id: str = "doc_id",
     source: str = "source",
 ) -> DataFrame:
-    """(doc_id, size, source_size, target, copies, taken) for each document."""
-    sized = materialise(docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), n_words(F.col(text)).alias("size"),
-        doc_hash(F.col(doc_id)).alias("hash"),
-    ), "mix-sizes")
-    wanted = targets(sized.select("source", "size"), weights, MAX_COPIES, budget)
-    cut = thresholds(sized, wanted)
-    plan = wanted.join(cut.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    joined = sized.join(plan.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left")
-    copies = (F.col("copies") + (F.col("hash") < F.col("prefix")).cast("int")).cast("long")
-    copies = F.least(copies, F.lit(MAX_COPIES).cast("long"))
-    return joined.select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
-        (F.col("size") * copies).cast("long").alias("taken"),
-    )
+    """(doc_id, source, size, source_size, target, copies, taken) for each document."""
+    sized = materialise(_sized(docs, text, doc_id, source), "mix-sizes")
+    joined = sized.join(_plan(sized, weights, budget), F.col("source").eqNullSafe(F.col("s")), "left")
+    return joined.withColumn("copies", _copies()).select(
+        "doc_id", "source", "size", "source_size", "target", "copies",
+        (F.col("size") * F.col("copies")).cast("long").alias("taken"))
+
+
+def take(
+    docs: DataFrame, weights=WEIGHTS, budget: float = 1.0, text: str = "text", doc_id: str = "doc_id",
+    source: str = "source",
+) -> DataFrame:
+    """The documents that the mix takes, with ``size``, ``source_size``, ``target``, ``copies`` and ``taken``.
+
+    Input columns of these names are replaced.
+    """
+    added = ("size", "source_size", "target", "copies", "taken")
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in added]
+    plan = _plan(materialise(_sized(docs, text, doc_id, source), "mix-sizes"), weights, budget)
+    shaped = docs.select(
+        F.struct(*kept).alias("row"), F.col(f"`{source}`").cast("string").alias("source"),
+        n_words(F.col(f"`{text}`")).alias("size"), doc_hash(F.col(f"`{doc_id}`")).alias("hash"))
+    joined = shaped.join(plan, F.col("source").eqNullSafe(F.col("s"))).withColumn("copies", _copies())
+    return joined.filter("copies > 0").select(
+        "row.*", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).cast("long").alias("taken"))

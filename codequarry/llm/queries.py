@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +67,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     # Tested against a plain model and its sums to one; the base score against SQL in tests.
     "op1_katz_scores": (op1_katz_scores, None),
     "op3_source_mix": (op3_source_mix, SQL.SOURCE_MIX),

@@ -148,4 +148,7 @@ def judge(docs: DataFrame, rules=DEFAULT_RULES, text: str = "text", into: str =
 def keep(docs: DataFrame, rules=DEFAULT_RULES, text: str = "text") -> DataFrame:
     """The documents that meet the base rules and the table, with their own columns."""
     judged = judge(docs, rules, text, "_verdict")
-    return judged.filter("_verdict.kept").drop("_verdict")
+    # A filter would be moved below the measures and repeat them inside each other; it
+    # is not moved past a column that differs from row to row.
+    judged = judged.withColumn("_at", F.monotonically_increasing_id())
+    return judged.filter("_verdict.kept AND _at >= 0").drop("_verdict", "_at")
