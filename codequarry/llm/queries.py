@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codequarry.llm import decontaminate, katz, licences, lines, mixing, nearjoin, passages, rules, secrets
+from codequarry.llm import decontaminate, katz, licences, lines, mixing, nearjoin, passages, rules, secrets, tokens
 from codequarry.llm import oracles as SQL
 
 
@@ -18,6 +18,20 @@ def op1_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score(_table(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three edits of each text: at its quarters five characters give way to the source's name."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce("source", F.lit("")).alias("source"))
+    size = F.char_length(F.coalesce("text", F.lit("")))
+    edits = F.transform(F.sequence(F.lit(1), F.lit(3)), lambda k: F.struct(
+        F.floor(size * k / 4).alias("start"), F.least(F.floor(size * k / 4) + 5, F.floor(size * (k + 1) / 4)).alias("end"),
+        F.col("source").alias("put")))
+    edited = tokens.apply_edits(tokens.build(docs.withColumn("edits", edits)))
+    return edited.select(
+        "doc_id", F.col("tokens.n_tokens").alias("tokens_before"), F.col("edited.n_tokens").alias("tokens_after"),
+        F.col("edited.n_pretokens").alias("pretokens"), F.col("edited.n_encoded").alias("encoded_again"),
+        F.sha2(F.col("edited.text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -70,6 +84,8 @@ QUERIES = {
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     # Tested against a plain model and its sums to one; the base score against SQL in tests.
     "op1_katz_scores": (op1_katz_scores, None),
+    # Tested against encoding the edited texts as a whole.
+    "op2_token_counts": (op2_token_counts, None),
     "op3_source_mix": (op3_source_mix, SQL.SOURCE_MIX),
     "op4_quality_rules": (op4_quality_rules, SQL.QUALITY_RULES),
     # Tested against full alignment tables.
