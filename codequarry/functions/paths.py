@@ -93,12 +93,10 @@ def skip_reason(
     strict_header: bool = True,
 ) -> Column:
     """First rule a file breaks, else null. The content is looked at last."""
-    reason = (
-        F.when(unsafe_path(path), "unsafe path")
-        .when(generated_or_lock(path), "generated")
-        .when(col(length) > limits.file_bytes, "too large")
-        .when(col(length) == 0, "empty")
-    )
+    reason = F.when(unsafe_path(path), "unsafe path").when(generated_or_lock(path), "generated")
+    if limits.file_bytes is not None:
+        reason = reason.when(col(length) > limits.file_bytes, "too large")
+    reason = reason.when(col(length) == 0, "empty")
     if content is not None:
         reason = reason.when(is_binary(content, strict_header), "binary")
     return reason

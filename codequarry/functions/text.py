@@ -87,12 +87,20 @@ def _replace_markers(c: Column, by: str) -> Column:
     )
 
 
-def clean_question(c: Column | str, max_chars: int = 2000) -> Column:
-    return strip(_replace_markers(head(strip(c), max_chars), ""))
+def clean_question(c: Column | str, max_chars: int | None = None) -> Column:
+    """Stripped, without instruction markers; cut only where a length is given."""
+    whole = strip(c)
+    return strip(_replace_markers(whole if max_chars is None else head(whole, max_chars), ""))
 
 
-def valid_question(c: Column | str, max_chars: int = 2000) -> Column:
-    return F.coalesce(F.length(col(c)).between(1, max_chars), F.lit(False))
+def question_reject(c: Column | str, max_chars: int | None = None) -> Column:
+    """Why a question is not asked; null for those that are."""
+    reason = F.when(F.coalesce(F.length(col(c)), F.lit(0)) == 0, "empty")
+    return reason if max_chars is None else reason.when(F.length(col(c)) > max_chars, "too long")
+
+
+def valid_question(c: Column | str, max_chars: int | None = None) -> Column:
+    return question_reject(c, max_chars).isNull()
 
 
 def escape_html(c: Column | str) -> Column:

@@ -1,4 +1,4 @@
-"""Default bounds of the corpus jobs; pass another ``Limits`` to change them."""
+"""Bounds of the corpus jobs. None, the default for whatever would drop data, is no bound."""
 
 from __future__ import annotations
 
@@ -7,10 +7,10 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Limits:
-    file_bytes: int = 512 * 1024
-    repository_files: int = 5000
-    repository_bytes: int = 500 * 1024 * 1024
-    question_chars: int = 2000
+    file_bytes: int | None = None
+    repository_files: int | None = None
+    repository_bytes: int | None = None
+    question_chars: int | None = None
     module_path_chars: int = 512
     hits: int = 8
     entity_rows: int = 100
@@ -21,7 +21,12 @@ class Limits:
     retention_days: int = 30
     requests_per_window: int = 60
     window_seconds: int = 60
-    tree_depth: int = 6
+    tree_depth: int | None = None
 
 
 DEFAULT_LIMITS = Limits()
+# The bounds of the service that these jobs follow, for whoever wants its cuts.
+SERVICE_LIMITS = Limits(
+    file_bytes=512 * 1024, repository_files=5000, repository_bytes=500 * 1024 * 1024,
+    question_chars=2000, tree_depth=6,
+)

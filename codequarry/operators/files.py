@@ -36,9 +36,9 @@ def eligible(
     files: DataFrame, limits: Limits = DEFAULT_LIMITS, strict_header: bool = True
 ) -> DataFrame:
     """Files to extract. Path and size rules reach the scan; content comes last."""
-    candidates = source_candidates(files).filter(
-        F.col("length").between(1, limits.file_bytes)
-    )
+    candidates = source_candidates(files).filter(F.col("length") > 0)
+    if limits.file_bytes is not None:
+        candidates = candidates.filter(F.col("length") <= limits.file_bytes)
     kept = with_skip_reason(candidates, limits, strict_header)
     return kept.filter(F.col("skip_reason").isNull()).drop("skip_reason")
 
@@ -60,9 +60,11 @@ def repository_sizes(all_files: DataFrame, limits: Limits = DEFAULT_LIMITS) -> D
     sizes = counted.groupBy(KEY).agg(
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
     )
-    reason = F.when(F.col("files") > limits.repository_files, "too many files").when(
-        F.col("bytes") > limits.repository_bytes, "too many bytes"
-    )
+    reason = F.lit(None).cast("string")
+    if limits.repository_bytes is not None:
+        reason = F.when(F.col("bytes") > limits.repository_bytes, "too many bytes")
+    if limits.repository_files is not None:
+        reason = F.when(F.col("files") > limits.repository_files, "too many files").otherwise(reason)
     return sizes.withColumn("reject_reason", reason)
 
 
@@ -72,13 +74,12 @@ def within_limits(files: DataFrame, sizes: DataFrame) -> DataFrame:
     return matching(files, rejected, [KEY], keep=False)
 
 
-def cap_files(files: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    """First files of a repository in path order, as many as the limit.
+def cap_files(files: DataFrame, cap: int) -> DataFrame:
+    """First ``cap`` files of a repository in path order.
 
     Only the paths of repositories over the limit are ranked, and each gives
     one last path; the files themselves, contents included, are only filtered.
     """
-    cap = limits.repository_files
     sizes = files.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
     over = sizes.filter(F.col("_n") > cap).select(KEY)
     names = matching(files.select(KEY, "rel_path"), over, [KEY])
@@ -93,7 +94,7 @@ def tree_rows(all_files: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFram
     """Directory tree as adjacency rows, from paths alone.
 
     Hidden and ignored directories are pruned with all below them; directories
-    go down to the depth limit, and source files no deeper than that.
+    go down to the depth limit, if there is one, and source files no deeper.
     """
     depth_cap = limits.tree_depth
     all_parts = paths.parts("rel_path")
@@ -105,7 +106,7 @@ def tree_rows(all_files: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFram
     first_hidden = F.array_position(flags, F.lit(True)).cast("int")
     open_dirs = F.when(first_hidden > 0, first_hidden - 1).otherwise(F.size("dirs"))
     base = base.withColumn("_open", open_dirs)
-    steps = F.least(F.col("_open"), F.lit(depth_cap + 1))
+    steps = F.col("_open") if depth_cap is None else F.least(F.col("_open"), F.lit(depth_cap + 1))
     dir_rows = F.when(
         steps > 0,
         F.transform(
@@ -118,7 +119,7 @@ def tree_rows(all_files: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFram
     ).otherwise(F.expr("cast(array() as array<struct<path:string,type:string>>)"))
     visible_file = (
         (F.col("_open") == F.size("dirs"))
-        & (F.size("dirs") <= depth_cap)
+        & (F.lit(True) if depth_cap is None else F.size("dirs") <= depth_cap)
         & (paths.suffix("rel_path") == ".py")
     )
     file_row = F.when(

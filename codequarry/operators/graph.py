@@ -11,7 +11,6 @@ from codequarry.operators.relational import (
     first_wins,
     page,
     page_per_key,
-    spread_join,
 )
 
 KEY = "repository_id"
@@ -106,7 +105,7 @@ def subgraph(
     else:
         on_page = page_per_key(nodes, [KEY], _by_name(), limit, offset).drop("pos")
         sources = on_page.select(KEY, F.col("id").alias("source_node_id"))
-        out = spread_join(edges, sources, [KEY, "source_node_id"], "left_semi")
+        out = edges.join(sources, [KEY, "source_node_id"], "left_semi")
     target_ids = out.select(KEY, F.col("target_node_id").alias("id")).distinct()
     targets = nodes.join(target_ids, [KEY, "id"], "left_semi")
     both = _shown(on_page).withColumn("on_page", F.lit(True)).unionByName(
@@ -143,7 +142,7 @@ def subgraph_summary(found: DataFrame, nodes: DataFrame, limit: int, offset: int
 def dangling_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges whose target is no node; one target may own many of the edges."""
     known = nodes.select(KEY, F.col("id").alias("target_node_id"))
-    return spread_join(edges, known, [KEY, "target_node_id"], "left_anti")
+    return edges.join(known, [KEY, "target_node_id"], "left_anti")
 
 
 def dangling_targets(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -164,5 +163,5 @@ def with_endpoints(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         KEY, F.col("id").alias(f"{end}_node_id"), F.col("name").alias(f"{end}_name"),
         F.col("node_type").alias(f"{end}_type"),
     )
-    joined = spread_join(edges, named("source"), [KEY, "source_node_id"], "inner")
-    return spread_join(joined, named("target"), [KEY, "target_node_id"], "inner")
+    joined = edges.join(named("source"), [KEY, "source_node_id"], "inner")
+    return joined.join(named("target"), [KEY, "target_node_id"], "inner")

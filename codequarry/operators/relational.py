@@ -3,18 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A side is broadcast only after it was counted to be at most this many rows;
-# such sides carry ids and small numbers only, so this is a few megabytes.
-BROADCAST_ROWS = 100_000
-# A key is hot when it owns more than 1/HOT_SHARE of the rows, so there are
-# fewer than HOT_SHARE hot keys whatever the size of the table.
-HOT_SHARE = 1000
 # Over how many tasks the rows of one hot key are spread.
 SPREAD = 256
 
@@ -60,60 +52,18 @@ def page(df: DataFrame, order: Sequence[Column], limit: int, offset: int = 0) ->
     return (ordered.offset(offset) if offset else ordered).limit(limit)
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a side may be broadcast: a count, one number from each task."""
-    return df.count() <= rows
-
-
-def _hot_keys(df: DataFrame, on: list[str]) -> DataFrame:
-    """Keys with more than 1/HOT_SHARE of the rows: fewer than HOT_SHARE of them."""
-    total = df.select(F.count(F.lit(1))).scalar()
-    sizes = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    return sizes.filter(F.col("_n") * HOT_SHARE > total).select(*on, F.lit(True).alias("_hot"))
+def matching(left: DataFrame, right: DataFrame, on: Sequence[str], keep: bool = True) -> DataFrame:
+    """Rows of ``left`` whose key is in ``right`` (``keep``) or is not.
 
+    Spark broadcasts the keys when it knows them to be few, and splits the tasks of
+    hot keys of ``left`` otherwise (adaptive skew join).
+    """
+    return left.join(right.select(*on), list(on), "left_semi" if keep else "left_anti")
 
-def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
-    """Shuffle join in which only hot keys of ``left`` are spread over tasks.
 
-    The rows of a hot key go to SPREAD shares and meet a copy of the matching
-    ``right`` rows in each. Right for inner, left, semi and anti joins.
-    """
-    on = list(on)
-    hot = F.broadcast(_hot_keys(left.select(*on), on))
-    # Rows without a key match nothing and can go anywhere.
-    keyless = reduce(or_, [F.col(c).isNull() for c in on])
-    share = F.when(
-        F.col("_hot") | keyless, F.pmod(F.spark_partition_id(), F.lit(SPREAD))
-    ).otherwise(0)
-    spread = left.join(hot, on, "left").withColumn("_share", share).drop("_hot")
-    shares = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    copied = right.join(hot, on, "left").withColumn("_share", F.explode(shares)).drop("_hot")
-    return spread.join(copied, on + ["_share"], how).drop("_share")
-
-
-def matching(
-    left: DataFrame, right: DataFrame, on: Sequence[str], keep: bool = True,
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Rows of ``left`` whose key is in ``right`` (``keep``) or is not."""
-    how = "left_semi" if keep else "left_anti"
-    keys = right.select(*on)
-    distinct = keys.distinct()
-    if is_small(distinct, broadcast_rows):
-        return left.join(F.broadcast(distinct), list(on), how)
-    return spread_join(left, keys, on, how)
-
-
-def attach(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Add the columns of ``right`` (one narrow row per key) to ``left``."""
-    if is_small(right, broadcast_rows):
-        return left.join(F.broadcast(right), list(on), how)
-    return spread_join(left, right, on, how)
+def attach(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Add the columns of ``right`` (one narrow row per key) to ``left``; as above."""
+    return left.join(right, list(on), how)
 
 
 def latest(df: DataFrame, keys: Sequence[str], seq: str | Column) -> DataFrame:

@@ -34,8 +34,6 @@ CHUNK_BLOCK = 16384
 QUERY_BLOCK = 2048
 WORD_BLOCKS = 8
 QUERY_STEP = 256
-# Rows with a cut text that may be broadcast (about 2 KB each).
-WIDE_ROWS = 10_000
 # More than rounding can move two scores against each other.
 ROUNDING = 2 * 10.0**-SCORE_DECIMALS
 # Scores of one batch held at once when words are counted.
@@ -121,7 +119,7 @@ def hit_rows(
     wanted = hits.select(*on).distinct()
     picked = attach(details, wanted.withColumn("_hit", F.lit(True)), on, "inner").drop("_hit")
     # One chunk may be the hit of many questions; its text makes a row wide.
-    return attach(hits, picked, on, "inner", WIDE_ROWS)
+    return attach(hits, picked, on, "inner")
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -196,24 +194,35 @@ class _Vectors:
         return F.size(v) * 8
 
     def __init__(self, few: pa.Table):
-        sizes = few["v"].combine_chunks().value_lengths().fill_null(0).to_pylist()
-        self.width = max(sizes, default=0)
-        self.matrix, self.usable = _matrix(few["v"], self.width)
-        self.by_key = _queries_of_key(few)
+        sizes = few["v"].combine_chunks().value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        # Each width of query vectors is a table of its own: a chunk is scored
+        # against a query by the query's width, whoever shares the block.
+        self.widths: dict[int, tuple[np.ndarray, dict[object, np.ndarray]]] = {}
+        of_key = _queries_of_key(few)
+        for width in np.unique(sizes).tolist():
+            matrix, _ = _matrix(few["v"], width)
+            mine = {key: rows[sizes[rows] == width] for key, rows in of_key.items()}
+            self.widths[width] = matrix, {key: rows for key, rows in mine.items() if len(rows)}
 
     def add(self, keys: pa.Array, ids: pa.Array, column: pa.Array, best: _Best) -> None:
-        vectors, usable = _matrix(column, self.width)
-        for key in set(keys.unique().to_pylist()) & self.by_key.keys():
-            rows = _rows_of(keys, key)
-            own_ids = ids.take(pa.array(rows))
-            wanted = self.by_key[key]
-            for start in range(0, len(wanted), QUERY_STEP):
-                step = wanted[start : start + QUERY_STEP]
-                table = _scores(vectors[rows], usable[rows], self.matrix[step])
-                table[~self.usable[step]] = NO_SCORE
-                floors = best.floors(step)
-                for row in np.flatnonzero(table.max(axis=1) >= floors).tolist():
-                    best.add(int(step[row]), table[row], own_ids, floors[row])
+        here = set(keys.unique().to_pylist())
+        for width, (matrix, by_key) in self.widths.items():
+            vectors, usable = _matrix(column, width)
+            if width == 0:  # queries without a vector
+                usable[:] = False
+            for key in here & by_key.keys():
+                self._add_key(keys, ids, key, by_key[key], matrix, vectors, usable, best)
+
+    @staticmethod
+    def _add_key(keys, ids, key, wanted, matrix, vectors, usable, best: _Best) -> None:
+        rows = _rows_of(keys, key)
+        own_ids = ids.take(pa.array(rows))
+        for start in range(0, len(wanted), QUERY_STEP):
+            step = wanted[start : start + QUERY_STEP]
+            table = _scores(vectors[rows], usable[rows], matrix[step])
+            floors = best.floors(step)
+            for row in np.flatnonzero(table.max(axis=1) >= floors).tolist():
+                best.add(int(step[row]), table[row], own_ids, floors[row])
 
 
 class _Words:

@@ -54,7 +54,9 @@ EDGES = _schema(
     "repository_id string, source_node_id string, target_node_id string, edge_type string"
 )
 
-SNAPSHOTS = _schema("repository_id string, current string, removed boolean, seq bigint")
+SNAPSHOTS = _schema(
+    "repository_id string, table string, current string, removed boolean, seq bigint"
+)
 
 TREE = _schema(
     "repository_id string, path string, parent_path string, name string, type string, depth int"

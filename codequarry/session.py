@@ -35,12 +35,14 @@ def builder(app_name: str = "codequarry") -> SparkSession.Builder:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (a local test) is a local one made, and
-    then the session is told about it.
+    Only where the session names none and all of it runs on this machine (a local
+    test) is a local one made, and then the session is told about it.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     made = tempfile.mkdtemp(prefix="codequarry-")
     spark.sparkContext.setCheckpointDir(made)
     spark.conf.set("spark.checkpoint.dir", made)

@@ -27,7 +27,6 @@ from pyspark.sql.datasource import (
 )
 
 from codequarry.fixed_values import IGNORED_DIRECTORIES
-from codequarry.limits import DEFAULT_LIMITS
 
 _ROWS = 256
 _BYTES = 16 * 1024 * 1024
@@ -49,7 +48,7 @@ class TreeReader(DataSourceReader):
         self.repository = options.get("repository_id")
         self.content = options.get("content", "true").lower() != "false"
         self.pattern = options.get("pattern", ".py")
-        self.max_bytes = int(options.get("max_bytes", DEFAULT_LIMITS.file_bytes))
+        self.max_bytes = int(options["max_bytes"]) if "max_bytes" in options else None
         prune = options.get("prune", "true" if self.content else "false").lower() == "true"
         self.closed = frozenset(IGNORED_DIRECTORIES if prune else ())
         self.tasks = int(options.get("tasks", 64))
@@ -102,7 +101,7 @@ class TreeReader(DataSourceReader):
         held = 0
         for rel, full in self._paths(part):
             length, data = os.stat(full).st_size, None
-            if self.content and length <= self.max_bytes:
+            if self.content and (self.max_bytes is None or length <= self.max_bytes):
                 with open(full, "rb") as handle:
                     data = handle.read()
             rows.append((part.repository_id, rel, length, data))

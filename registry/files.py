@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from codequarry import fixed_values as V
 from codequarry.functions import paths
-from codequarry.limits import Limits
+from codequarry.limits import SERVICE_LIMITS, Limits
 from codequarry.operators import files as file_ops
 from registry.common import sql_list, table
 
@@ -155,7 +155,7 @@ SELECT repository_id, rel_path FROM files WHERE repository_id NOT IN
 
 def capped_files(spark, d):
     files = document_files(spark, d).select("repository_id", "rel_path")
-    return file_ops.cap_files(files, Limits(repository_files=30))
+    return file_ops.cap_files(files, 30)
 
 
 CAP_SQL = f"""
@@ -166,7 +166,7 @@ QUALIFY row_number() OVER (PARTITION BY repository_id ORDER BY rel_path) <= 30
 
 
 def path_tree(spark, d):
-    return file_ops.tree_rows(document_files(spark, d))
+    return file_ops.tree_rows(document_files(spark, d), SERVICE_LIMITS)
 
 
 _TREE = f"""

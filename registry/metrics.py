@@ -34,6 +34,11 @@ sample AS (SELECT event_type, event_id, value FROM ranked JOIN sizes USING (even
 
 
 def metric_summary(spark, d):
+    return metrics.summary(_events(spark, d), "event_type", "value")
+
+
+def metric_sample_summary(spark, d):
+    """The same over the bounded sample of the newest values."""
     sample = metrics.bounded_sample(_events(spark, d), "event_type", ("ts", "event_id"))
     return metrics.summary(sample, "event_type", "value")
 
@@ -108,6 +113,11 @@ QUERIES = {
     "metric_sample": (metric_sample, _SAMPLE + "SELECT * FROM sample"),
     "metric_summary": (
         metric_summary,
+        """SELECT event_type, count(*) AS count, round(avg(value), 2) AS avg_ms,
+        round(max(value), 2) AS max_ms FROM events GROUP BY 1""",
+    ),
+    "metric_sample_summary": (
+        metric_sample_summary,
         _SAMPLE + """SELECT event_type, count(*) AS count, round(avg(value), 2) AS avg_ms,
         round(max(value), 2) AS max_ms FROM sample GROUP BY 1""",
     ),

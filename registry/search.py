@@ -70,6 +70,34 @@ def vector_topk_blocks(spark, d):
     ))
 
 
+def _two_widths(df, number):
+    """Vectors of odd numbers keep their first half only."""
+    half = F.slice("embedding", F.lit(1), (F.size("embedding") / 2).cast("int"))
+    return df.withColumn("embedding", F.when(F.col(number) % 2 == 1, half).otherwise(F.col("embedding")))
+
+
+def vector_topk_two_widths(spark, d, **form):
+    chunks = _two_widths(_chunks(spark, d), "repository_id")
+    queries = _two_widths(mean_vectors(spark, d), "query_id")
+    return _shown(search.top_k(chunks, queries, K, by=None, **form))
+
+
+def vector_topk_two_widths_blocks(spark, d):
+    return vector_topk_two_widths(spark, d, broadcast_queries=0)
+
+
+WIDTHS_SQL = _SCORED.replace("list(m ORDER BY pos) AS q", """CASE WHEN label % 2 = 1
+    THEN list(m ORDER BY pos)[:count(*) // 2] ELSE list(m ORDER BY pos) END AS q""").replace(
+    "embedding::DOUBLE[] AS v", """CASE WHEN label % 2 = 1 THEN embedding::DOUBLE[][:len(embedding) // 2]
+    ELSE embedding::DOUBLE[] END AS v""").replace(
+    "round(list_dot_product(q, v)", "CASE WHEN len(q) <> len(v) THEN -1 ELSE round(list_dot_product(q, v)").replace(
+    ", 9) AS score", ", 9) END AS score") + f"""
+SELECT query_id, id, round(score, 6) AS score, rank FROM (
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id))::INTEGER AS rank
+  FROM scored) WHERE rank <= {K}
+"""
+
+
 def keyword_topk(spark, d):
     """Documents that share most words with each benchmark item."""
     docs = spread_scan(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"))
@@ -113,6 +141,8 @@ QUERIES = {
     "vector_topk_by_repository": (
         vector_topk_by_repository, _ranked("WHERE label = query_id", "label AS repository_id,"),
     ),
+    "vector_topk_two_widths": (vector_topk_two_widths, WIDTHS_SQL),
+    "vector_topk_two_widths_blocks": (vector_topk_two_widths_blocks, WIDTHS_SQL),
     "vector_topk_blocks": (vector_topk_blocks, _ranked("", "")),
     "keyword_topk": (keyword_topk, KEYWORD_SQL),
     "label_scores": (

@@ -12,8 +12,8 @@ NOW = "2000-06-30 00:00:00"
 
 
 def _customers_as_repositories(spark, d):
-    """Every customer in debt is a repository that was registered before."""
-    old = table(spark, d, "customer").filter(F.col("c_acctbal") < 3000)
+    """Every customer, 50 numbers on, is a repository that was registered before."""
+    old = table(spark, d, "customer").withColumn("c_custkey", F.col("c_custkey") + 50)
     when = F.to_timestamp(F.lit("1990-01-01 00:00:00"))
     values = {
         "id": F.col("c_custkey").cast("string"), "url": F.concat(F.lit("old/"), "c_name"),
@@ -44,7 +44,7 @@ def upsert_repositories(spark, d):
 
 
 UPSERT_SQL = """
-WITH old AS (SELECT * FROM customer WHERE c_acctbal < 3000),
+WITH old AS (SELECT * REPLACE (c_custkey + 50 AS c_custkey) FROM customer),
 news AS (SELECT o_custkey, arg_min(o_orderkey, o_orderkey) AS first, arg_max(o_orderkey, o_orderkey) AS last,
   coalesce(nullif(arg_min(o_orderstatus, o_orderkey), 'F'), 'main') AS branch,
   arg_min(o_orderdate, o_orderkey) AS first_ts, arg_max(o_orderdate, o_orderkey) AS last_ts
@@ -71,7 +71,7 @@ def finish_and_fail(spark, d):
         F.count(F.lit(1)).alias("files"), (F.count(F.lit(1)) * 2).alias("entities")
     )
     failures = table(spark, d, "customer").filter(F.col("c_acctbal") < -500).select(
-        F.col("c_custkey").cast("string").alias("id"), F.lit("no clone").alias("error")
+        (F.col("c_custkey") + 50).cast("string").alias("id"), F.lit("no clone").alias("error")
     )
     now = F.to_timestamp(F.lit(NOW))
     done = state.mark_failed(state.finish_repositories(stored, totals, now), failures, now)
@@ -79,12 +79,13 @@ def finish_and_fail(spark, d):
 
 
 FINISH_SQL = """
-WITH n AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1)
+WITH old AS (SELECT * REPLACE (c_custkey + 50 AS c_custkey) FROM customer),
+n AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1)
 SELECT c_custkey::VARCHAR AS id, 'old/' || c_name AS url, c_name AS name,
   CASE WHEN c_acctbal < -500 THEN 'failed' WHEN n IS NOT NULL THEN 'completed' ELSE 'failed' END AS status,
   coalesce(n, c_nationkey)::INTEGER AS file_count, coalesce(2 * n, 7)::INTEGER AS entity_count,
   CASE WHEN c_acctbal < -500 THEN 'no clone' ELSE c_mktsegment END AS error_message
-FROM customer LEFT JOIN n ON o_custkey = c_custkey WHERE c_acctbal < 3000
+FROM old LEFT JOIN n ON o_custkey = c_custkey
 """
 
 

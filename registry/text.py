@@ -68,9 +68,9 @@ def clean_question(spark, d):
     )
     return turns.select(
         "conv_id", "turn",
-        text.clean_question("text").alias("cleaned"),
-        text.clean_question(marked).alias("cleaned_marked"),
-        text.valid_question("text").alias("admissible"),
+        text.clean_question("text", 2000).alias("cleaned"),
+        text.clean_question(marked, 2000).alias("cleaned_marked"),
+        text.valid_question("text", 2000).alias("admissible"),
     )
 
 

@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from codequarry import schemas
-from codequarry.limits import Limits
+from codequarry.limits import SERVICE_LIMITS, Limits
 from codequarry.operators import files as file_ops
 from codequarry.sources import store as store_io
 from codequarry.sources.tree import read_trees, stage_files
@@ -23,7 +23,9 @@ def test_tree_depths_and_pruning(spark):
         f"{DEEP}/g/six.py",     # directory at depth 6 is kept, its file is not
         f"{DEEP}/g/h/seven.py",
     ])
-    tree = file_ops.tree_rows(files)
+    whole = {r.path for r in file_ops.tree_rows(files).collect()}
+    assert {f"{DEEP}/g/six.py", f"{DEEP}/g/h", f"{DEEP}/g/h/seven.py"} <= whole
+    tree = file_ops.tree_rows(files, SERVICE_LIMITS)
     got = {(r.path, r.type, r.depth, r.parent_path) for r in tree.collect()}
     assert {p for p, t, _, _ in got if t == "file"} == {"top.py", "a/__init__.py", ".x.py", f"{DEEP}/five.py"}
     assert {p for p, t, _, _ in got if t == "directory"} == {
@@ -50,11 +52,12 @@ def test_limits(spark):
     strict = Limits(repository_files=5)
     sizes = {r.repository_id: (r.files, r.reject_reason) for r in file_ops.repository_sizes(both, strict).collect()}
     assert sizes == {"r": (6, "too many files"), "s": (2, None)}
+    assert {r.reject_reason for r in file_ops.repository_sizes(both).collect()} == {None}
     exact = Limits(repository_files=6, repository_bytes=6)
     assert {r.reject_reason for r in file_ops.repository_sizes(both, exact).collect()} == {None}
     kept = file_ops.within_limits(both, file_ops.repository_sizes(both, strict))
     assert {r.repository_id for r in kept.collect()} == {"s"}
-    capped = file_ops.cap_files(both.filter(F.col("rel_path").endswith(".py")), strict)
+    capped = file_ops.cap_files(both.filter(F.col("rel_path").endswith(".py")), 5)
     assert sorted(r.rel_path for r in capped.filter("repository_id = 'r'").collect()) == [f"d/{i}.py" for i in range(5)]
     assert capped.filter("repository_id = 's'").count() == 2
 

@@ -21,27 +21,23 @@ def plain(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
-def test_spread_join_equals_join(spark):
+def test_matching_both_ways(spark):
     left, right = skewed(spark), keys(spark)
-    for how in ("inner", "left", "left_semi", "left_anti"):
-        spread = R.spread_join(left, right, ["k"], how)
-        want = left.join(right, ["k"], how)
-        assert plain(spread.select(*want.columns)) == plain(want), how
-
-
-def test_hot_keys_are_few(spark):
-    hot = R._hot_keys(skewed(spark).select("k"), ["k"])
-    assert "hot" in {r.k for r in hot.collect()} and hot.count() < R.HOT_SHARE
+    for keep in (True, False):
+        known = {r.k for r in right.collect()}
+        got = {r.id for r in R.matching(left, right, ["k"], keep).collect()}
+        assert got == {r.id for r in left.collect() if (r.k in known) == keep}
+    rows = {r.id: r.w for r in R.attach(left, right, ["k"]).collect()}
+    weights = {r.k: r.w for r in right.collect()}
+    assert rows == {r.id: weights.get(r.k) for r in left.collect()}
 
 
-def test_matching_both_ways(spark):
+def test_no_job_while_a_plan_is_built(spark):
     left, right = skewed(spark), keys(spark)
-    for keep in (True, False):
-        small = R.matching(left, right, ["k"], keep)
-        large = R.matching(left, right, ["k"], keep, broadcast_rows=10)
-        assert plain(small.select("id")) == plain(large.select("id"))
-    small, large = R.attach(left, right, ["k"]), R.attach(left, right, ["k"], broadcast_rows=10)
-    assert plain(small.select("id", "w")) == plain(large.select("id", "w"))
+    spark.sparkContext.setJobGroup("plan-only", "")
+    R.attach(R.matching(left, right, ["k"]), right, ["k"])
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan-only")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_top_n_equals_one_window(spark):
@@ -81,4 +77,6 @@ def test_plans(spark):
     text = plan(R.top_n(left, ["k"], [F.col("id")], 5))
     assert text.count("WindowGroupLimit") == 4
     assert "TakeOrderedAndProject" in plan(R.page(left, [F.col("id")], 5, 5))
-    assert "BroadcastHashJoin" in plan(R.matching(left, keys(spark), ["k"]))
+    # Two inputs, each read once; broadcast or not is for the run to decide.
+    semi = plan(R.matching(left, keys(spark), ["k"]))
+    assert semi.count("Scan ExistingRDD") == 2 and "CartesianProduct" not in semi

@@ -103,7 +103,8 @@ def test_answers(spark, corpus):
     nodes = corpus.nodes.unionByName(
         spark.createDataFrame([node("n1", "N", "Class", "p.py", "nochunks")], schemas.NODES))
     got = {r.query_id: r for r in questions.answers(asked, corpus.chunks, nodes, 2).collect()}
-    assert set(got) == {1, 2, 4}
+    assert set(got) == {1, 2, 3, 4}
+    assert got[3].rejected == "empty" and got[3].answer is None and got[1].rejected is None
     assert got[1].question == "read every row  of a parquet table"
     assert [s.name for s in got[1].sources][0] == "load_rows" and len(got[1].sources) == 2
     assert got[1].answer.startswith("**Question:** read every row  of a parquet table\n\n**Retrieved context")

@@ -56,6 +56,20 @@ def test_top_k_is_exact(spark, data, keyed, form, monkeypatch):
     assert found == model(chunks, queries, 7, keyed)
 
 
+@pytest.mark.parametrize("form", ["broadcast", "blocks"])
+def test_widths_belong_to_queries(spark, form, monkeypatch):
+    monkeypatch.setattr(search, "CHUNK_BLOCK", 3)
+    monkeypatch.setattr(search, "QUERY_BLOCK", 2)
+    chunks = [(f"n{i}", "narrow", [1.0, float(i)]) for i in range(5)] + [(f"w{i}", "wide", [1.0, 2.0, float(i)]) for i in range(5)]
+    chunks += [("m2", "mixed", [1.0, 1.0]), ("m3", "mixed", [1.0, 1.0, 1.0]), ("m0", "mixed", None)]
+    queries = [(1, "narrow", [1.0, 3.0]), (2, "wide", [1.0, 2.0, 3.0]), (3, "mixed", [1.0, 1.0]),
+               (4, "mixed", [1.0, 1.0, 1.0]), (5, "mixed", None)]
+    got = search.top_k(spark.createDataFrame(chunks, SCHEMA), spark.createDataFrame(queries, QSCHEMA), 3,
+                       broadcast_queries=0 if form == "blocks" else 100)
+    found = sorted((r.query_id, r.id, round(r.score, 6), r["rank"]) for r in got.collect())
+    assert found == model(chunks, queries, 3, True)
+
+
 @pytest.mark.parametrize("form", ["broadcast", "blocks"])
 def test_keywords_are_exact(spark, form, monkeypatch):
     monkeypatch.setattr(search, "CHUNK_BLOCK", 20)

@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from codequarry import fixed_values as V
+from codequarry.limits import SERVICE_LIMITS
 from codequarry.functions import identity, paths, text, urls
 
 PIECES = st.sampled_from([
@@ -67,7 +68,7 @@ def test_redaction(spark, values):
 @FEW
 @given(BATCHES)
 def test_questions(spark, values):
-    values, got = applied(spark, values, text.clean_question)
+    values, got = applied(spark, values, lambda c: text.clean_question(c, 2000))
     assert got == [model_question(v) for v in values]
 
 
@@ -83,9 +84,9 @@ def test_output_and_answer(spark, values):
 def test_question_edges(spark):
     long = "a" * 2001
     values, got = applied(spark, [long, " \u001c hi 　", "jailbreak", "jailjailbreakbreak", ""],
-                          text.clean_question)
+                          lambda c: text.clean_question(c, 2000))
     assert got == ["a" * 2000, "hi", "", "jailbreak", ""]
-    _, ok = applied(spark, ["a" * 2000, long, "", None], text.valid_question)
+    _, ok = applied(spark, ["a" * 2000, long, "", None], lambda c: text.valid_question(c, 2000))
     assert ok == [True, False, False, False]
 
 
@@ -173,7 +174,10 @@ def test_binary(spark):
     assert got == [want for _, want in cases]
     _, got = applied(spark, [c for c, _ in cases], lambda c: paths.is_binary(c, False), "binary")
     assert got == [want if i != 6 else False for i, (_, want) in enumerate(cases)]
-    _, sizes = applied(spark, [0, 1, 524288, 524289], lambda c: paths.skip_reason(F.lit("a.py"), c, None), "int")
+    lengths = [0, 1, 524288, 524289]
+    _, sizes = applied(spark, lengths, lambda c: paths.skip_reason(F.lit("a.py"), c, None, SERVICE_LIMITS), "int")
     assert sizes == ["empty", None, None, "too large"]
+    _, sizes = applied(spark, lengths, lambda c: paths.skip_reason(F.lit("a.py"), c, None), "int")
+    assert sizes == ["empty", None, None, None]
     _, cleaned = applied(spark, [b"a\xffb\xc3"], paths.text_of, "binary")
     assert cleaned == [b"a\xffb\xc3".decode("utf-8", "replace")]
