@@ -87,8 +87,8 @@ def vector_topk_two_widths_blocks(spark, d):
 
 
 WIDTHS_SQL = _SCORED.replace("list(m ORDER BY pos) AS q", """CASE WHEN label % 2 = 1
-    THEN list(m ORDER BY pos)[:count(*) // 2] ELSE list(m ORDER BY pos) END AS q""").replace(
-    "embedding::DOUBLE[] AS v", """CASE WHEN label % 2 = 1 THEN embedding::DOUBLE[][:len(embedding) // 2]
+    THEN (list(m ORDER BY pos))[:(count(*) // 2)::INT] ELSE list(m ORDER BY pos) END AS q""").replace(
+    "embedding::DOUBLE[] AS v", """CASE WHEN label % 2 = 1 THEN (embedding::DOUBLE[])[:len(embedding) // 2]
     ELSE embedding::DOUBLE[] END AS v""").replace(
     "round(list_dot_product(q, v)", "CASE WHEN len(q) <> len(v) THEN -1 ELSE round(list_dot_product(q, v)").replace(
     ", 9) AS score", ", 9) END AS score") + f"""
