@@ -28,9 +28,15 @@ def metric_windows(
 
 
 def first_seen(
-    rows: DataFrame, keys: list[str], ts: str = "ts", delay: str = "1 hour"
+    rows: DataFrame, keys: list[str], ts: str = "ts", delay: str | None = None
 ) -> DataFrame:
-    """First arrival of each key; keys are forgotten after the delay."""
+    """First arrival of each key, however the input is cut into triggers.
+
+    Every key stays in the state, a row each. With ``delay`` a key is forgotten once
+    the watermark has passed it by that much, and may then be seen anew.
+    """
+    if delay is None:
+        return rows.dropDuplicates(keys)
     return rows.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
