@@ -140,15 +140,14 @@ def judge(docs: DataFrame, rules=DEFAULT_RULES, text: str = "text", into: str =
     """``docs`` plus the measures and the verdict (``base_failed``, ``kept``) in one struct."""
     measured = measure(docs, text, into)
     base = compiled(BASE_RULES, into)
+    # A filter on the verdict would be moved below the measures and repeat them inside
+    # each other; it is not moved past a value that differs from row to row.
+    stays = F.monotonically_increasing_id() >= 0
     return measured.withColumn(into, F.struct(
-        f"`{into}`.*", (~base).alias("base_failed"), (base & compiled(rules, into)).alias("kept"),
+        f"`{into}`.*", (~base).alias("base_failed"), (base & compiled(rules, into) & stays).alias("kept"),
     ))
 
 
 def keep(docs: DataFrame, rules=DEFAULT_RULES, text: str = "text") -> DataFrame:
     """The documents that meet the base rules and the table, with their own columns."""
-    judged = judge(docs, rules, text, "_verdict")
-    # A filter would be moved below the measures and repeat them inside each other; it
-    # is not moved past a column that differs from row to row.
-    judged = judged.withColumn("_at", F.monotonically_increasing_id())
-    return judged.filter("_verdict.kept AND _at >= 0").drop("_verdict", "_at")
+    return judge(docs, rules, text, "_verdict").filter("_verdict.kept").drop("_verdict")
