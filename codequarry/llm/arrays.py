@@ -126,12 +126,19 @@ def unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def buffered(batches, most_bytes: int = 32 << 20):
+def sliced(batches, most_bytes: int = 4 << 20):
+    """The same rows in batches of about ``most_bytes``, so that Python objects of few texts are alive."""
+    for batch in batches:
+        if batch.num_rows:
+            step = max(1, batch.num_rows * most_bytes // max(1, batch.nbytes))
+            for start in range(0, batch.num_rows, step):
+                yield batch.slice(start, step)
+
+
+def buffered(batches, most_bytes: int = 16 << 20):
     """Arrow batches joined until they hold about ``most_bytes``, as one batch each."""
     held, size = [], 0
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
+    for batch in sliced(batches):
         held.append(batch)
         size += batch.nbytes
         if size >= most_bytes:

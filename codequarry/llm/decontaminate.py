@@ -1,9 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Runs of three words of the test items are counted over all documents. Each item is
-cut into short stretches, and the rarest run that starts in a stretch is its seed, so
-every item has seeds along its whole length and none rests on a common phrase where
-it can be helped. Where a seed stands in a document, the words around it, as many as
+Runs of three words of the test items are counted over all documents. A rare run, one
+for a thousand documents at most, is a seed; each item is also cut into short
+stretches, and the rarest run that starts in a stretch is a seed however common it is,
+so every item has seeds along its whole length. Where a seed stands in a document, the words around it, as many as
 the item and some more, are aligned with the item: +1 for an equal word, less for a
 changed, left-out or added one. The score is the best local alignment by the number
 of the item's words: 1 for a whole copy, lower with every edit.
@@ -33,9 +33,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from codequarry.llm import arrays as A
+from codequarry.llm.tables import others, restored
 
 SEED = 3
 STRETCH = 4
+RARE, RARE_SHARE = 100, 1000  # a run is rare up to 100 places, or one for 1000 documents
 THRESHOLD = 0.5
 CHANGE, GAP = -0.5, -0.5
 SHARE_BYTES = 8 << 20  # of item texts
@@ -70,14 +72,14 @@ class Items:
             total = total * self.base + words[starts + k]
         return total
 
-    def seeds(self, counts: np.ndarray) -> dict[int, list[tuple[int, int]]]:
-        """Run → (item, offset) of the runs chosen: the rarest of each stretch."""
+    def seeds(self, counts: np.ndarray, rare: int) -> dict[int, list[tuple[int, int]]]:
+        """Run → (item, offset) of the runs chosen: rare ones, and the rarest of each stretch."""
         out = defaultdict(list)
         for item, runs in enumerate(self.at):
             for start in range(0, len(runs), STRETCH):
                 piece = counts[runs[start:start + STRETCH]]
-                offset = start + int(piece.argmin())
-                out[int(runs[offset])].append((item, offset))
+                for offset in {int(piece.argmin()), *np.flatnonzero(piece <= rare).tolist()}:
+                    out[int(runs[start + offset])].append((item, start + offset))
         return dict(out)
 
     def places(self, text: pa.Array):
@@ -178,11 +180,14 @@ def leaks_of(items: Items, seeds, words: np.ndarray, at, run, threshold: float)
 def _counting(shared):
     def run(batches):
         items = shared.value
-        total = np.zeros(len(items.runs), np.int64)
-        for batch in batches:
+        total, n = np.zeros(len(items.runs), np.int64), 0
+        for batch in A.sliced(batches):
+            n += batch.num_rows
             total += np.bincount(items.places(batch.column(0))[3], minlength=len(total))
         some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], ["run", "n"])
+        # The last row counts the documents.
+        yield pa.RecordBatch.from_arrays([
+            pa.array([*some.tolist(), len(items.runs)], pa.int64()), pa.array([*total[some].tolist(), n], pa.int64())], ["run", "n"])
     return run
 
 
@@ -191,7 +196,7 @@ def _finding(shared, threshold: float):
         items, seeds = shared.value
         chosen = np.zeros(len(items.runs) + 1, bool)
         chosen[list(seeds)] = True
-        for batch in batches:
+        for batch in A.sliced(batches):
             number, offsets, at, found = items.places(batch.column(1))
             keep = chosen[found]
             at, found = at[keep], found[keep]
@@ -215,20 +220,19 @@ def find(
     named = items.select(F.col(f"`{item_id}`").cast("long").alias("id"), F.col(f"`{item_text}`").alias("text"))
     size = named.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     shares = max(1, -(-size // share_bytes))
-    kept = [F.col(f"`{c}`") for c in docs.columns if c != into]
-    out = docs.select(F.struct(*kept).alias("row"), F.col(f"`{text}`").alias("t"), F.array().cast(_LEAKS).alias("leaks"))
+    out = docs.select(others(docs, text, into).alias("row"), F.col(f"`{text}`").alias("t"), F.array().cast(_LEAKS).alias("leaks"))
     texts = out.select("t")
     schema = T.StructType([out.schema["row"], T.StructField("t", T.StringType()), T.StructField("leaks", _LEAKS)])
     for share in range(shares):
         mine = named.filter(F.pmod(F.xxhash64("id", "text"), F.lit(shares)) == share)
         held = Items(sorted(mine.collect(), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")))
-        counts = np.zeros(len(held.runs), np.int64)
+        counts = np.zeros(len(held.runs) + 1, np.int64)
         counted = texts.mapInArrow(_counting(spark.sparkContext.broadcast(held)), "run long, n long")
         for row in counted.groupBy("run").agg(F.sum("n").alias("n")).toLocalIterator():
             counts[row["run"]] = row["n"]
-        sent = spark.sparkContext.broadcast((held, held.seeds(counts)))
+        sent = spark.sparkContext.broadcast((held, held.seeds(counts, max(RARE, int(counts[-1]) // RARE_SHARE))))
         out = out.mapInArrow(_finding(sent, threshold), schema)
-    return out.select("row.*", F.col("leaks").alias(into))
+    return out.select(*restored(docs, text, F.col("t"), "row", into), F.col("leaks").alias(into))
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:

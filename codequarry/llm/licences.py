@@ -24,6 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from codequarry.llm import arrays as A
+from codequarry.llm.tables import others, restored
+
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
 
@@ -173,14 +176,14 @@ def scan_text(text: str | None, searcher: Searcher, phrases: dict[str, str]) ->
 def scan(docs: DataFrame, text: str = "text", notices=NOTICES, phrases=None, into: str = "licence") -> DataFrame:
     """``docs`` plus one struct: words, exact phrase places, labels, score and spans of notices."""
     phrases = PHRASES if phrases is None else phrases
-    kept = [F.col(f"`{c}`") for c in docs.columns if c != into]
-    shaped = docs.select(F.struct(*kept).alias("row"), F.col(f"`{text}`").alias("t"))
+    shaped = docs.select(others(docs, text, into).alias("row"), F.col(f"`{text}`").alias("t"))
 
     def run(batches):
         searcher = Searcher(notices)
-        for batch in batches:
+        for batch in A.sliced(batches):
             found = [scan_text(t, searcher, phrases) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, _ARROW)], ["row", "found"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, _ARROW)], ["row", "t", "found"])
 
-    schema = T.StructType([shaped.schema["row"], T.StructField("found", _RESULT)])
-    return shaped.mapInArrow(run, schema).select("row.*", F.col("found").alias(into))
+    schema = T.StructType([*shaped.schema.fields, T.StructField("found", _RESULT)])
+    return shaped.mapInArrow(run, schema).select(
+        *restored(docs, text, F.col("t"), "row", into), F.col("found").alias(into))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from codequarry.llm import arrays as A
-from codequarry.llm.tables import BROADCAST_BYTES, WorkTables, release
+from codequarry.llm.tables import BROADCAST_BYTES, WorkTables, others, release, restored
 
 MIN_DOCUMENTS = 10
 LEAST = 1
@@ -138,7 +138,7 @@ _KEYS = pa.schema([("key", pa.binary())])
 def _suspects(shared, parts: int, least: int):
     def run(batches):
         test = _suspect_test({k: _Bloom(len(v) * 8, np.frombuffer(v, np.uint8)) for k, v in shared.value.items()}, parts)
-        for batch in batches:
+        for batch in A.sliced(batches):
             keys = [k for t in batch.column(0).to_pylist() for k in set(line_keys(t)) if _long_enough(k, least)]
             if keys:
                 hashes = np.fromiter((A.hash_of(k) for k in keys), np.uint64, len(keys))
@@ -179,6 +179,7 @@ def repeated_keys(
     counted = keys.groupBy("key").agg(F.count("*").alias("n_documents")).filter(F.col("n_documents") >= min_documents)
     out = work.write(counted, "line-keys")
     work.drop("line-filters")
+    del packed, keys, counted
     release(spark)
     return out
 
@@ -186,7 +187,7 @@ def repeated_keys(
 def _removal(shared):
     def run(batches):
         drop = shared.value
-        for batch in batches:
+        for batch in A.sliced(batches):
             at = batch.schema.get_field_index("_t")
             texts, lines, dropped = [], [], []
             for text in batch.column(at).to_pylist():
@@ -214,9 +215,8 @@ def dedup_lines(
     work = WorkTables(docs.sparkSession)
     keys = repeated_keys(docs, work, min_documents, least, text, broadcast_bytes)
     size = keys.agg(F.sum(F.length("key") + 64)).first()[0] or 0
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    shaped = docs.select(F.struct(*rest).alias("row"), F.col(f"`{text}`").alias("_t"))
+    added = ("n_lines", "n_dropped")
+    shaped = docs.select(others(docs, text, *added).alias("row"), F.col(f"`{text}`").alias("_t"))
     if keep_first:
         out = _keep_first(shaped, keys, text, doc_id)
     elif size <= broadcast_bytes:
@@ -224,8 +224,7 @@ def dedup_lines(
         out = shaped.mapInArrow(_removal(docs.sparkSession.sparkContext.broadcast(held)), _ddl(shaped))
     else:
         out = _joined(shaped, keys)
-    columns = [F.col("out.text").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in names]
-    return out.select(*columns, "out.n_lines", "out.n_dropped")
+    return out.select(*restored(docs, text, F.col("out.text"), "row", *added), "out.n_lines", "out.n_dropped")
 
 
 def _ddl(shaped: DataFrame):

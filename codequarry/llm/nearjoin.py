@@ -78,7 +78,7 @@ _SIGNED = pa.schema([
 
 
 def _sign(batches):
-    for batch in batches:
+    for batch in A.sliced(batches):
         sets = list(_of_batch(batch, 2))
         yield A.rows(
             _SIGNED, doc_id=batch.column(0), row=batch.column(1),
@@ -105,7 +105,7 @@ _SETS = pa.schema([("label", pa.binary()), ("blocks", pa.int32()), ("digest", pa
 
 
 def _sets(batches):
-    for batch in batches:
+    for batch in A.sliced(batches):
         for i, found in enumerate(_of_batch(batch, 3)):
             yield A.rows(_SETS, label=batch.column(0)[i:i + 1], blocks=batch.column(1)[i:i + 1],
                          digest=batch.column(2)[i:i + 1], set=[found.tobytes()])
@@ -211,11 +211,13 @@ def _verified(docs: DataFrame, classes: DataFrame, depth: int, threshold: float,
 
 def join(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET, text: str = "text",
          doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, row, class_id, n_links, n_copies): one row for each row of ``docs``.
+    """(doc_id, row, class_id, n_links, n_copies, class_key): one row for each row of ``docs``.
 
     ``class_id`` is the smallest doc_id of all documents connected by links;
     ``n_links`` counts the other shingle sets that are linked to this one's;
-    ``n_copies`` the rows with this shingle set. ``row`` is a hash of id and text.
+    ``n_copies`` the rows with this shingle set. ``row`` is a hash of id and text;
+    ``class_key`` tells classes apart even where texts share an id, and is null for
+    documents without words.
     """
     work = WorkTables(docs.sparkSession)
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
@@ -243,11 +245,11 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET,
     named = classes.select("digest", "copies", "doc_id").join(labels.withColumnRenamed("node", "digest"), "digest", "left")
     named = named.withColumn("label", F.coalesce("label", "digest")).join(degree, "digest", "left")
     least = named.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    named = named.join(least, "label").select("digest", "class_id", "copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    named = named.join(least, "label").select("digest", "label", "class_id", "copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     return signed.select("doc_id", "row", "digest", "n").join(named, "digest", "left").select(
         "doc_id", "row", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"), (F.col("n") > 0).alias("has_words"))
+        F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"), F.col("label").alias("class_key"))
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -257,12 +259,11 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, text: str = "text",
     then by any one of equal rows. Documents without words all stay.
     """
     joined = join(docs, threshold, TARGET, text, doc_id)
-    group = F.struct("class_id", F.when(F.col("class_id").isNull(), F.col("row")).alias("r"))
-    words = joined.filter("has_words").withColumn("group", group)
+    words = joined.filter("class_key IS NOT NULL")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    stays = words.groupBy("group").agg(F.min(first).alias("first")).select(
+    stays = words.groupBy("class_key").agg(F.min(first).alias("first")).select(
         F.col("first.row").alias("_row"), F.lit(True).alias("_one"))
-    stays = stays.union(joined.filter("NOT has_words").select("row", F.lit(False)).distinct())
+    stays = stays.union(joined.filter("class_key IS NULL").select("row", F.lit(False)).distinct())
     names = [F.col(f"`{c}`") for c in docs.columns]
     keyed = docs.select(F.struct(*names).alias("_doc"), F.xxhash64(
         F.col(f"`{doc_id}`").cast("string"), F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("_row"))

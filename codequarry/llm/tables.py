@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import gc
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from codequarry.session import work_path
 
@@ -49,3 +50,17 @@ def release(spark: SparkSession) -> None:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def others(docs: DataFrame, text: str, *replaced: str) -> Column:
+    """All columns but the text, and but those that results replace, as one struct.
+
+    The text travels by itself, so Python tasks get it once. The first field keeps
+    the struct from being empty.
+    """
+    return F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c != text and c not in replaced])
+
+
+def restored(docs: DataFrame, text: str, value: Column, struct: str, *replaced: str) -> list[Column]:
+    """The columns of ``docs`` in their order, out of ``others`` and the text's new value."""
+    return [value.alias(c) if c == text else F.col(f"`{struct}`.`{c}`") for c in docs.columns if c not in replaced]

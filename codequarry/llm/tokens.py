@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from codequarry.llm import arrays as A
+from codequarry.llm.tables import others, restored
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 FAN = 64
@@ -200,20 +201,20 @@ _TREE_ARROW = pa.struct([("n_tokens", pa.int64()), ("n_pretokens", pa.int64()),
 
 def build(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY, into: str = "tokens") -> DataFrame:
     """``docs`` plus a struct: tokens, pre-tokens and the packed tree of each text."""
-    kept = [F.col(f"`{c}`") for c in docs.columns if c != into]
-    shaped = docs.select(F.struct(*kept).alias("row"), F.col(f"`{text}`").alias("t"))
+    shaped = docs.select(others(docs, text, into).alias("row"), F.col(f"`{text}`").alias("t"))
 
     def run(batches):
         encoder = Encoder(vocabulary)
-        for batch in batches:
+        for batch in A.sliced(batches):
             out = []
             for t in batch.column(1).to_pylist():
                 tree = Tree.over(encoder.leaves(t or ""))
                 out.append({"n_tokens": tree.tokens, "n_pretokens": tree.n_leaves, "tree": tree.pack()})
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, _TREE_ARROW)], ["row", "out"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, _TREE_ARROW)], ["row", "t", "out"])
 
-    schema = T.StructType([shaped.schema["row"], T.StructField("out", _TREE)])
-    return shaped.mapInArrow(run, schema).select("row.*", F.col("out").alias(into))
+    schema = T.StructType([*shaped.schema.fields, T.StructField("out", _TREE)])
+    return shaped.mapInArrow(run, schema).select(
+        *restored(docs, text, F.col("t"), "row", into), F.col("out").alias(into))
 
 
 EDITS = "array<struct<start:bigint,end:bigint,put:string>>"
@@ -230,13 +231,12 @@ def apply_edits(
     The column ``edits`` holds, for each row, (start, end, put): characters start … end - 1
     give way to ``put``.
     """
-    kept = [F.col(f"`{c}`") for c in built.columns if c != into]
-    shaped = built.select(F.struct(*kept).alias("row"), F.col(f"`{text}`").alias("t"),
+    shaped = built.select(others(built, text, into).alias("row"), F.col(f"`{text}`").alias("t"),
                           F.col(f"`{tokens}`.`tree`").alias("tree"), F.col(f"`{edits}`").cast(EDITS).alias("e"))
 
     def run(batches):
         encoder = Encoder(vocabulary)
-        for batch in batches:
+        for batch in A.sliced(batches):
             out = []
             for t, packed, changes in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
                 t, tree, encoded = t or "", Tree.unpack(packed), 0
@@ -249,7 +249,9 @@ def apply_edits(
                     encoded += n
                 out.append({"text": t, "n_tokens": tree.tokens, "n_pretokens": tree.n_leaves, "tree": tree.pack(),
                             "n_encoded": encoded})
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, _EDITED_ARROW)], ["row", "out"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(out, _EDITED_ARROW)], ["row", "t", "out"])
 
-    schema = T.StructType([shaped.schema["row"], T.StructField("out", _EDITED)])
-    return shaped.mapInArrow(run, schema).select("row.*", F.col("out").alias(into))
+    schema = T.StructType([shaped.schema["row"], shaped.schema["t"], T.StructField("out", _EDITED)])
+    return shaped.mapInArrow(run, schema).select(
+        *restored(built, text, F.col("t"), "row", into), F.col("out").alias(into))
