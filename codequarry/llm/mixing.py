@@ -134,8 +134,10 @@ def _plan(sized: DataFrame, weights, budget: float) -> DataFrame:
     """(s, source_size, target, copies, prefix) for each source: a small table."""
     wanted = targets(sized.select("source", "size"), weights, MAX_COPIES, budget)
     cut = thresholds(sized, wanted)
-    return wanted.withColumnRenamed("source", "s").join(
+    plan = wanted.withColumnRenamed("source", "s").join(
         cut, F.col("source").eqNullSafe(F.col("s"))).select("s", "source_size", "target", "copies", "prefix")
+    # Written, its size is known: Spark sends it to the documents where it is small.
+    return materialise(plan, "mix-plan")
 
 
 def _sized(docs: DataFrame, text: str, doc_id: str, source: str) -> DataFrame:
