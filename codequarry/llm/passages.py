@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from codequarry.llm import arrays as A
-from codequarry.llm.tables import BROADCAST_BYTES, WorkTables, release
+from codequarry.llm.tables import BROADCAST_BYTES, WorkTables, others, release, restored
 
 WINDOW = 20
 RUN = 10
@@ -127,6 +127,12 @@ def _homes(batches):
         yield A.rows(_HOMES, seed=value[starts][often].view(np.int64), home=doc[starts][often], n=total[often])
 
 
+def _packed_table(batches):
+    for batch in A.buffered(batches):
+        seed, shard = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        yield pa.RecordBatch.from_arrays([pa.array([A.pack(seed.view(np.uint64), shard)], pa.binary())], ["payload"])
+
+
 _PIECES = pa.schema([
     ("shard", pa.int32()), ("piece", pa.binary()), ("doc", pa.int64()), ("row", pa.int64()), ("start", pa.int64()),
     ("n", pa.int64()), ("text", pa.string())])
@@ -166,14 +172,14 @@ def _cut_sent(shared):
             at = np.minimum(np.searchsorted(known, seeds), len(known) - 1)
             return np.where(known[at] == seeds, shards[at], -1)
 
-        for batch in A.buffered(batches):
+        for batch in A.sliced(batches):
             yield _cut(batch, shard_of)
     return run
 
 
 def _cut_joined(batches):
     """As ``_cut_sent``, with each row's own recurring seeds and shards beside its text."""
-    for batch in batches:
+    for batch in A.sliced(batches):
         known, own = batch.column(3), batch.column(4)
 
         def shard_of(seeds, text_of):
@@ -300,7 +306,7 @@ _OUT = pa.struct([("text", pa.string()), ("n_words", pa.int64()), ("n_removed",
 
 
 def _remove(batches):
-    for batch in batches:
+    for batch in A.sliced(batches):
         out = []
         for text, ranges in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             words = (text or "").encode().split()
@@ -325,6 +331,7 @@ def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", broadcast
     packed = keyed.mapInArrow(_spread(parts), "part int, payload binary")
     homes = work.write(packed.repartition(min(parts, 20_000), "part").sortWithinPartitions("part").mapInArrow(
         _homes, "seed long, home long, n long"), "passage-seeds")
+    del packed
     release(spark)
     # Homes of very many seeds: few, as each has its share of all seeds.
     heavy = homes.groupBy("home").agg(F.sum("n").alias("all")).filter(F.col("all") > SEEDS_PER_HOME).select("home", F.lit(True).alias("heavy"))
@@ -333,10 +340,11 @@ def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", broadcast
         "passage-shards")
     n_seeds = placed.count()
     if 12 * n_seeds <= broadcast_bytes:
-        table = placed.toPandas()
-        known = table["seed"].to_numpy(np.int64).view(np.uint64)
+        held = [A.unpack(r["payload"]) for r in placed.mapInArrow(_packed_table, "payload binary").collect()]
+        known, shards = (np.concatenate([kind[:0], *[h[k] for h in held]]) for k, kind in enumerate(
+            (np.zeros(0, np.uint64), np.zeros(0, np.int32))))
         order = np.argsort(known)
-        sent = spark.sparkContext.broadcast((known[order], table["shard"].to_numpy(np.int32)[order]))
+        sent = spark.sparkContext.broadcast((known[order], shards[order]))
         pieces = keyed.mapInArrow(_cut_sent(sent), _PIECES_DDL)
     else:
         seen = keyed.mapInArrow(_row_seeds, "row long, seed long").distinct()
@@ -349,6 +357,8 @@ def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", broadcast
     once = once.select("shard", "piece", "at.doc", "at.row", "at.start", "text")
     ranges = work.write(once.repartition(min(parts, 20_000), "shard").sortWithinPartitions("shard").mapInArrow(
         _automata, "piece binary, starts array<long>, ends array<long>, doc long, row long, start long"), "passage-ranges")
+    del once
+    release(spark)
     firsts = ranges.select("piece", F.arrays_zip(F.col("starts").alias("a"), F.col("ends").alias("b")).alias("inner"),
                            F.struct("doc", "row", "start").alias("at"))
     places = pieces.select("piece", "row", "start", "n", F.struct("doc", "row", "start").alias("mine")).join(firsts, "piece")
@@ -357,12 +367,12 @@ def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", broadcast
     own = F.transform("inner", lambda r: F.struct((r["a"] + F.col("start")).alias("a"), (r["b"] + F.col("start")).alias("b")))
     gone = places.select("row", F.explode(F.when(F.col("mine") == F.col("at"), own).otherwise(whole)).alias("r"))
     gone = work.write(gone.groupBy("row").agg(F.collect_set("r").alias("ranges")), "passage-gone")
+    work.drop("passage-seeds", "passage-shards", "passage-pieces", "passage-ranges")
     release(spark)
-    names = [c for c in docs.columns if c not in ("n_words", "n_removed")]
-    shaped = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("d"), F.col(f"`{text}`").alias("t"), row_of.alias("row"))
+    added = ("n_words", "n_removed")
+    shaped = docs.select(others(docs, text, *added).alias("d"), F.col(f"`{text}`").alias("t"), row_of.alias("row"))
     joined = shaped.join(gone, "row", "left").select(F.col("d").alias("row"), "t", "ranges")
     schema = T.StructType([joined.schema["row"], T.StructField("out", T.StructType([
         T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]))])
     done = joined.mapInArrow(_remove, schema)
-    columns = [F.col("out.text").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in names]
-    return done.select(*columns, "out.n_words", "out.n_removed")
+    return done.select(*restored(docs, text, F.col("out.text"), "row", *added), "out.n_words", "out.n_removed")
