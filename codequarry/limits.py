@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from codequarry import fixed_values as V
+
 
 @dataclass(frozen=True)
 class Limits:
@@ -22,9 +24,13 @@ class Limits:
     requests_per_window: int = 60
     window_seconds: int = 60
     tree_depth: int | None = None
+    # Of the text that a row of `entities` shows for Python sources; facts and chunks hold it whole.
+    module_chars: int | None = V.MODULE_CHARS
+    block_chars: int | None = V.BLOCK_CHARS
 
 
 DEFAULT_LIMITS = Limits()
+WHOLE_TEXT = Limits(module_chars=None, block_chars=None)
 # The bounds of the service that these jobs follow, for whoever wants its cuts.
 SERVICE_LIMITS = Limits(
     file_bytes=512 * 1024, repository_files=5000, repository_bytes=500 * 1024 * 1024,

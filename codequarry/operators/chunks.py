@@ -24,7 +24,7 @@ def chunk_text(
     kind: Column | str, name: Column | str, path: Column | str,
     signature: Column | str, docstring: Column | str, content: Column | str,
 ) -> Column:
-    """Labelled lines of an entity, empty ones left out, before the cut."""
+    """Labelled lines of an entity, empty ones left out, in one piece."""
     labelled = lambda label, c: F.concat(F.lit(label), text.blank_to_null(c))
     return F.concat_ws(
         "\n",
@@ -36,24 +36,57 @@ def chunk_text(
     )
 
 
+def _whole_text() -> Column:
+    return chunk_text("entity_type", "name", "file_path", "signature", "docstring", "content")
+
+
+def _pieces(whole: Column) -> Column:
+    """The redacted text in pieces of a chunk's length; joined they are all of it.
+
+    A piece ends behind white space where it has any, so that words stay whole. Redaction
+    comes first: a secret across two pieces would not be seen in either.
+    """
+    n = V.CHUNK_CHARS
+    pattern = rf"(?s).{{1,{n}}}\z|.{{0,{n - 1}}}\s|.{{1,{n}}}"
+    return text.bound(
+        text.redact_secrets(whole),
+        lambda c: F.when(F.length(c) <= n, F.array(c)).otherwise(
+            F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
+        ),
+    )
+
+
+def chunk_count() -> Column:
+    """Chunks of an entity with its whole text; redaction at most doubles a text."""
+    whole = _whole_text()
+    return (
+        F.when(F.col("entity_type") == "Import", 0)
+        .when(F.length(whole) * 2 <= V.CHUNK_CHARS, 1)
+        .otherwise(F.size(_pieces(whole)))
+    )
+
+
 def chunk_rows(entities_df: DataFrame) -> DataFrame:
     """Chunks of entities, repeats included (``repeated`` is carried along).
 
-    The text is cut first and redacted after, so a docstring or signature
-    cannot carry a secret into a chunk.
+    A text longer than a chunk gives further ones: the first has the entity's id, the
+    others ``id#2``, ``id#3`` and so on. All of it is redacted, so a docstring or
+    signature cannot carry a secret into a chunk.
     """
-    whole = chunk_text("entity_type", "name", "file_path", "signature", "docstring", "content")
+    whole = _whole_text()
     rows = entities_df.filter(F.col("entity_type") != "Import").withColumn("_whole", whole)
     # The title alone is nearly always long enough; only else is the rest built.
     enough = lambda c: F.length(text.strip(c)) >= V.MIN_CHUNK_CHARS
     rows = rows.filter(enough(_title("entity_type", "name")) | enough("_whole"))
+    rows = rows.select("*", F.posexplode(_pieces(F.col("_whole"))).alias("_at", "_piece"))
+    numbered = F.concat("id", F.lit("#"), (F.col("_at") + 1).cast("string"))
     return rows.select(
-        "id",
+        F.when(F.col("_at") == 0, F.col("id")).otherwise(numbered).alias("id"),
         "repository_id",
         "file_path",
         F.col("name").alias("entity_name"),
         "entity_type",
-        text.redact_secrets(text.head("_whole", V.CHUNK_CHARS)).alias("content"),
+        F.col("_piece").alias("content"),
         "line_start",
         "line_end",
         "repeated",

@@ -15,8 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from codequarry import fixed_values as V
 from codequarry import schemas
 from codequarry.functions import identity, paths, text
+from codequarry.limits import DEFAULT_LIMITS, Limits
 from codequarry.operators.visitor import python_facts
 
 Visitor = Callable[[str], Iterable[dict]]
@@ -25,6 +27,7 @@ _VISITORS: dict[str, Visitor] = {}
 _SUFFIXES: dict[str, str] = {}
 # Facts handed back at a time, so that a batch of big files stays small.
 _ROWS_OUT = 4096
+_CHARS_OUT = 8 << 20
 
 
 def register_language(language: str, suffixes: Iterable[str], visitor: Visitor) -> None:
@@ -54,6 +57,7 @@ class _Columns:
     def __init__(self, schema: pa.Schema):
         self.schema = schema
         self.lists: dict[str, list] = {name: [] for name in schema.names}
+        self.chars = 0
 
     def __len__(self) -> int:
         return len(self.lists["ordinal"])
@@ -61,6 +65,7 @@ class _Columns:
     def add(self, fact: dict, **more) -> None:
         for name, values in self.lists.items():
             values.append(more[name] if name in more else fact.get(name))
+        self.chars += len(fact.get("content") or "")
 
     def batch(self) -> pa.RecordBatch:
         arrays = [pa.array(self.lists[field.name], field.type) for field in self.schema]
@@ -93,7 +98,7 @@ def _visit(visitors: dict[str, Visitor], schema: pa.Schema):
         for batch in batches:
             for repository_id, rel_path, language, source in zip(*(c.to_pylist() for c in batch.columns)):
                 _add_file(columns, repository_id, rel_path, visitors[language](source))
-                if len(columns) >= _ROWS_OUT:
+                if len(columns) >= _ROWS_OUT or columns.chars >= _CHARS_OUT:
                     yield columns.batch()
                     columns = _Columns(schema)
         if len(columns):
@@ -126,8 +131,22 @@ def _docstring_text(raw: Column) -> Column:
     return raw
 
 
-def entities(facts_df: DataFrame) -> DataFrame:
-    """Entities with ids and redacted content, repeats included and flagged."""
+def _shown(limits: Limits) -> Column:
+    """The text of a fact as far as its entity shows it; other languages' visitors decide for themselves."""
+    content = F.col("content")
+    python = F.coalesce(language_of("rel_path") == "python", F.lit(False))
+    module, block = F.col("kind") == "Module", F.col("kind").isin(*V.COUNTED_TYPES)
+    for kind, chars in ((module, limits.module_chars), (block, limits.block_chars)):
+        if chars is not None:
+            content = F.when(python & kind, text.head("content", chars)).otherwise(content)
+    return content
+
+
+def entities(facts_df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+    """Entities with ids and redacted content, repeats included and flagged.
+
+    Texts are shown as far as ``limits`` says, cut first and redacted after.
+    """
     repo, path = F.col("repository_id"), F.col("rel_path")
     module = identity.module_id(repo, path)
     is_module = F.col("kind") == "Module"
@@ -149,7 +168,7 @@ def entities(facts_df: DataFrame) -> DataFrame:
         "signature",
         _docstring_text(F.col("docstring")).alias("docstring"),
         F.when(F.col("kind") == "Import", F.col("content"))
-        .otherwise(text.redact_secrets("content"))
+        .otherwise(text.redact_secrets(_shown(limits)))
         .alias("content"),
         "parent_id",
         "bases",

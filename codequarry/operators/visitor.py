@@ -11,8 +11,6 @@ import io
 import re
 import tokenize
 
-from codequarry.fixed_values import BLOCK_CHARS, MODULE_CHARS
-
 _LINE_END = re.compile(rb"\r\n|\r|\n")
 # A parameter list without strings, comments or nested brackets.
 _PLAIN_PARAMETERS = re.compile(r"\s*(\([^()\[\]{}'\"#]*\))")
@@ -134,7 +132,7 @@ def python_facts(text: str):
     yield {
         "kind": "Module", "name": None, "owner": None,
         "line_start": 1, "line_end": text.count("\n") + 1,
-        "content": text[:MODULE_CHARS],
+        "content": text,
     }
     # A byte order mark is text to the line and character counts above only.
     source = _Source(text.removeprefix(_BYTE_ORDER_MARK))
@@ -158,7 +156,7 @@ def _walk(source: _Source, node, owner: str | None):
             yield _fact(
                 "Class", child.name, None, child,
                 docstring=_docstring(source, child),
-                content=source.of(child)[:BLOCK_CHARS],
+                content=source.of(child),
                 bases=[b.id for b in child.bases if isinstance(b, ast.Name)],
             )
             yield from _walk(source, child, child.name)
@@ -167,7 +165,7 @@ def _walk(source: _Source, node, owner: str | None):
                 "Function" if owner is None else "Method", child.name, owner, child,
                 signature=_signature(source, child),
                 docstring=_docstring(source, child),
-                content=source.of(child)[:BLOCK_CHARS],
+                content=source.of(child),
             )
         else:
             yield from _walk(source, child, owner)

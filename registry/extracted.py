@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from codequarry.operators import chunks as chunk_ops
 from codequarry.operators import extract, graph
+from codequarry.limits import WHOLE_TEXT
 from codequarry.plans import ingest, reports
 from codequarry.session import materialise, spread_scan
 from registry.common import sql_entity_id, sql_redact, table
@@ -177,12 +178,12 @@ def ingest_edges(spark, d):
 
 
 def ingest_chunks(spark, d):
-    rows = chunk_ops.chunk_rows(extract.entities(_facts(spark, d)))
+    rows = chunk_ops.chunk_rows(extract.entities(_facts(spark, d), WHOLE_TEXT))
     return rows.filter(~F.col("repeated")).drop("repeated")
 
 
 def ingest_totals(spark, d):
-    return ingest.ingest_totals(extract.entities(_facts(spark, d)))
+    return ingest.ingest_totals(extract.entities(_facts(spark, d), WHOLE_TEXT))
 
 
 def extracted_module_stats(spark, d):
@@ -202,14 +203,33 @@ def extracted_dangling(spark, d):
     )
 
 
-def prose_modules(spark, d):
-    """Documents read as files: a module each, and the error that stops the reader."""
+def _prose_facts(spark, d):
     docs = spread_scan(table(spark, d, "documents")).select(
         F.col("source").alias(KEY),
         F.concat(F.lit("docs/"), F.col("doc_id").cast("string"), F.lit(".py")).alias("rel_path"),
         F.col("text").cast("binary").alias("content"),
     )
-    return extract.entities(extract.facts(docs)).drop("bases", "signature", "docstring")
+    return extract.facts(docs)
+
+
+def prose_modules(spark, d):
+    """Documents read as files: a module each, and the error that stops the reader."""
+    return extract.entities(_prose_facts(spark, d)).drop("bases", "signature", "docstring")
+
+
+def prose_modules_whole(spark, d):
+    """As ``prose_modules``, with all of each text."""
+    return extract.entities(_prose_facts(spark, d), WHOLE_TEXT).drop("bases", "signature", "docstring")
+
+
+def prose_chunks_whole(spark, d):
+    """Chunks of the documents joined again: all of each text, under its title and path."""
+    chunks = chunk_ops.chunk_rows(extract.entities(_prose_facts(spark, d), WHOLE_TEXT))
+    number = F.coalesce(F.try_element_at(F.split("id", "#"), F.lit(2)).cast("int"), F.lit(1))
+    parts = F.sort_array(F.collect_list(F.struct(number.alias("n"), "content")))
+    return chunks.groupBy("repository_id", "file_path").agg(
+        F.max(F.length("content")).alias("longest"), F.array_join(F.transform(parts, lambda p: p["content"]), "").alias("content")
+    ).select("repository_id", "file_path", (F.col("longest") <= 6000).alias("fits"), "content")
 
 
 def hashed_vectors(spark, d):
@@ -297,6 +317,21 @@ QUERIES = {
           {sql_redact('left(text, 8000)')} AS content, '' AS parent_id, 0 AS ordinal, FALSE AS repeated
         FROM documents""",
     ),
+    "prose_modules_whole": (
+        prose_modules_whole,
+        f"""SELECT left(sha256(source || ':docs/' || doc_id || '.py:Module:docs/' || doc_id || '.py:'), 16)
+          AS id, source AS repository_id, doc_id::VARCHAR AS name, 'Module' AS entity_type,
+          'docs/' || doc_id || '.py' AS file_path, 1 AS line_start,
+          (length(text) - length(replace(text, chr(10), '')) + 1)::INTEGER AS line_end,
+          {sql_redact('text')} AS content, '' AS parent_id, 0 AS ordinal, FALSE AS repeated
+        FROM documents""",
+    ),
+    "prose_chunks_whole": (
+        prose_chunks_whole,
+        f"""SELECT source AS repository_id, 'docs/' || doc_id || '.py' AS file_path, TRUE AS fits,
+          {sql_redact("concat_ws(chr(10), '# Module: ' || doc_id, 'File: docs/' || doc_id || '.py', nullif(text, ''))")}
+          AS content FROM documents""",
+    ),
     "hashed_vectors": (
         hashed_vectors,
         "SELECT doc_id, 384 AS width, round(1.0::DOUBLE, 3) AS norm FROM documents",

@@ -10,6 +10,7 @@ from codequarry import schemas
 from codequarry.operators import chunks as chunk_ops
 from codequarry.operators import extract
 from codequarry.operators.visitor import python_facts
+from codequarry.limits import WHOLE_TEXT
 from codequarry.plans import ingest
 
 
@@ -216,3 +217,22 @@ def test_standard_library_facts_cover_the_tree():
         got = [f for f in found if f["kind"] in ("Class", "Function", "Method")]
         assert sorted((f["name"], f["line_start"]) for f in got) == sorted((n.name, n.lineno) for n in want)
         assert all(f["signature"].endswith(")") for f in got if f["kind"] != "Class")
+
+
+def test_long_texts_are_whole_in_chunks(spark):
+    """What lies past the old cuts is in numbered chunks; a secret across two pieces is redacted."""
+    body = "".join(f"    x{i} = 'word{i}'\n" for i in range(1500)) + "    found = 'needle'\n"
+    text = f"def f():\n{body}class A:\n    pass\n"
+    text = text.replace("word300'", "password=" + "s" * 7000 + "'")
+    files = spark.createDataFrame([("r", "a.py", len(text), bytearray(text.encode()))], schemas.FILES)
+    made = ingest.extract_files(files)
+    rows = made.chunks.select("id", "entity_type", "content").collect()
+    assert len(rows) == len({r.id for r in rows}) == made.totals.collect()[0].distinct_chunks
+    assert max(len(r.content) for r in rows) <= 6000 and not any("sss" in r.content for r in rows)
+    for kind in ("Module", "Function"):
+        mine = sorted((r for r in rows if r.entity_type == kind), key=lambda r: int((r.id + "#1").split("#")[1]))
+        joined = "".join(r.content for r in mine)
+        assert len(mine) > 4 and [r.id for r in mine[1:]] == [f"{mine[0].id}#{n}" for n in range(2, len(mine) + 1)]
+        assert all(f"'word{i}'" in joined for i in range(1500) if i != 300) and "needle" in mine[-1].content
+    whole = extract.entities(extract.facts(files), WHOLE_TEXT).filter("entity_type = 'Function'").collect()[0]
+    assert "needle" in whole.content
