@@ -11,16 +11,23 @@ same document).
 2. Pieces. Stretches of windows with recurring seeds are cut out, as text. All windows
    with one seed go to the same shard, chosen by the seed's home, so that the parts of
    a passage stay together; homes with very many seeds are spread seed by seed.
-   Equal pieces are sent once: all but the first are repeats as a whole.
+   The windows of these pieces are counted by their hashes, summed up in each task
+   first, and the pieces are cut down to the windows that recur: the words beside a
+   passage, which differ from document to document, stay at home. Equal pieces are
+   sent once: all but the first are repeats as a whole. A shard whose distinct pieces
+   are still too large (one seed in very many recurring windows) is spread window by
+   window.
 3. Automata. Each shard confirms the windows that recur among its pieces, joins their
    first occurrences to phrases and compiles blocks of ten words of them into
    Aho-Corasick automata of bounded size. All pieces are streamed through: at each hit
-   the words on both sides are compared, so every removal rests on equal words.
+   the windows around it are compared word by word with the one place where each was
+   first, so every removal rests on equal words and the work grows with the hits.
 4. The ranges found are joined to the documents by row.
 
-Recurring seeds travel to the tasks while they stay below ``broadcast_bytes``, else
-they are joined to each document's seeds. A shard's memory is bounded by its distinct
-pieces; with an edited copy in very many documents these can be many.
+Recurring seeds and windows travel to the tasks while they stay below
+``broadcast_bytes`` (windows as a filter of two bytes each, if eight are too many), else they are joined to each document's seeds and each piece's
+windows. A shard's distinct pieces are bounded by ``HEAVY_SHARD`` times ``SHARD_BYTES``,
+beyond which its windows are dealt by their hashes.
 
 Defined cases: null and empty texts have no words; shorter texts than a window lose
 nothing; a null doc_id comes after all others; rows of one id are ordered by a hash
@@ -45,6 +52,7 @@ from codequarry.llm.tables import BROADCAST_BYTES, WorkTables, others, release,
 WINDOW = 20
 RUN = 10
 SHARD_BYTES = 24 << 20  # of text for each part of the seeds, and each shard
+HEAVY_SHARD = 2
 SEEDS_PER_HOME = 200_000
 AUTOMATON_WORDS = 200_000
 _DIGITS = np.frombuffer(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+-", np.uint8)
@@ -145,6 +153,11 @@ def _cut(batch: pa.RecordBatch, shard_of) -> pa.RecordBatch:
     shard = np.full(len(seeds), -1, np.int64)
     inside = np.flatnonzero(whole)
     shard[inside] = shard_of(seeds[inside], np.searchsorted(offsets, inside, side="right") - 1)
+    return _stretches(batch, words, codes, offsets, shard)
+
+
+def _stretches(batch: pa.RecordBatch, words: pa.Array, codes: np.ndarray, offsets: np.ndarray, shard: np.ndarray, base=0) -> pa.RecordBatch:
+    """A piece for each stretch of windows with one shard; ``base`` is where the texts start in their rows."""
     change = np.ones(len(shard), bool)
     change[1:] = shard[1:] != shard[:-1]
     # A text's last window and the next text's first one never touch: windows across texts lie between.
@@ -158,8 +171,8 @@ def _cut(batch: pa.RecordBatch, shard_of) -> pa.RecordBatch:
     return A.rows(
         _PIECES, shard=shard[starts], piece=[xxhash.xxh3_128_digest(t.encode()) for t in texts],
         doc=batch.column(0).to_numpy(zero_copy_only=False)[text_of],
-        row=batch.column(1).to_numpy(zero_copy_only=False)[text_of], start=starts - offsets[text_of],
-        n=ends - starts + WINDOW - 1, text=texts)
+        row=batch.column(1).to_numpy(zero_copy_only=False)[text_of],
+        start=starts - offsets[text_of] + (base if np.isscalar(base) else base[text_of]), n=ends - starts + WINDOW - 1, text=texts)
 
 
 def _cut_sent(shared):
@@ -204,14 +217,144 @@ def _row_seeds(batches):
         yield A.rows(_SEEN, row=row, seed=runs[at].view(np.int64))
 
 
-def locate(codes: np.ndarray, repeat: np.ndarray, first: np.ndarray) -> np.ndarray:
+def _piece_windows(text: pa.Array):
+    """(words, codes, offsets, hash of each window, which windows lie in one text)."""
+    words, codes, offsets = A.word_codes(text)
+    value = _runs_hash(A.word_hashes(words)[codes] if len(words) else np.zeros(0, np.uint64), WINDOW)
+    whole = np.zeros(len(value), bool)
+    whole[A.segments(offsets[:-1], np.maximum(np.diff(offsets) - WINDOW + 1, 0))] = True
+    return words, codes, offsets, value, whole
+
+
+def _count_windows(parts: int):
+    def run(batches):
+        for batch in A.buffered(batches):
+            _, _, _, value, whole = _piece_windows(batch.column(0))
+            value, times = np.unique(value[whole], return_counts=True)
+            part = (value % np.uint64(parts)).astype(np.int32)
+            order = np.argsort(part, kind="stable")
+            names, cut = np.unique(part[order], return_index=True)
+            for name, mine in zip(names, np.split(order, cut[1:])):
+                # Twice is as good as more.
+                yield A.rows(_PACKED, part=[name], payload=[A.pack(
+                    value[mine], np.minimum(times[mine], 2).astype(np.uint8))])
+    return run
+
+
+def _often(batches):
+    """Windows that occur twice or more."""
+    for _, held in A.streamed(batches, "part"):
+        pieces = [A.unpack(p) for b in held for p in b.column("payload").to_pylist()]
+        value, times = (np.concatenate([p[k] for p in pieces]) for k in range(2))
+        order = np.argsort(value)
+        value, times = value[order], times[order].astype(np.int64)
+        starts = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+        often = np.add.reduceat(times, starts) > 1
+        yield pa.RecordBatch.from_arrays([pa.array(value[starts][often].view(np.int64))], ["window"])
+
+
+def _packed_windows(batches):
+    for batch in A.buffered(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([A.pack(batch.column(0).to_numpy().view(np.uint64))], pa.binary())], ["payload"])
+
+
+def _recut(batch: pa.RecordBatch, shard_of) -> pa.RecordBatch:
+    """Pieces (doc, row, text, shard, start, ...) cut anew; ``shard_of`` gives -1 to windows to leave out."""
+    words, codes, offsets, value, whole = _piece_windows(batch.column(2))
+    shard = np.full(len(value), -1, np.int64)
+    inside = np.flatnonzero(whole)
+    text_of = np.searchsorted(offsets, inside, side="right") - 1
+    shard[inside] = shard_of(value[inside], text_of, batch.column(3).to_numpy()[text_of])
+    return _stretches(batch, words, codes, offsets, shard, batch.column(4).to_numpy())
+
+
+_RECUT = ("doc", "row", "text", "shard", "start")
+
+
+def _recut_sent(shared):
+    def run(batches):
+        known = shared.value
+
+        def shard_of(value, _, old):
+            if not len(known):
+                return np.full(len(value), -1, np.int64)
+            at = np.minimum(np.searchsorted(known, value), len(known) - 1)
+            return np.where(known[at] == value, old, -1)
+
+        for batch in A.sliced(batches):
+            yield _recut(batch, shard_of)
+    return run
+
+
+def _bits(value: np.ndarray, size: int):
+    """The three bits of each window in a filter of ``size`` bits."""
+    for k in range(1, 4):
+        yield A.mix64(value + np.uint64(k) * _ODD) % np.uint64(size)
+
+
+def _recut_filtered(shared):
+    """As ``_recut_sent``; a window that the filter takes by mistake is one more word in a piece, no more."""
+    def run(batches):
+        held = shared.value
+
+        def shard_of(value, _, old):
+            known = np.ones(len(value), bool)
+            for bit in _bits(value, 8 * len(held)):
+                known &= (held[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0
+            return np.where(known, old, -1)
+
+        for batch in A.sliced(batches):
+            yield _recut(batch, shard_of)
+    return run
+
+
+def _recut_joined(batches):
+    """As ``_recut_sent``, with each piece's own recurring windows beside its text."""
+    for batch in A.sliced(batches):
+        own = batch.column(5)
+
+        def shard_of(value, text_of, old):
+            out = np.full(len(value), -1, np.int64)
+            for i in np.unique(text_of):
+                mine = np.flatnonzero(text_of == i)
+                known = np.array(own[int(i)].as_py(), np.int64).view(np.uint64)
+                out[mine] = np.where(np.isin(value[mine], known), old[mine], -1)
+            return out
+
+        yield _recut(batch, shard_of)
+
+
+_INSIDE = pa.schema([("row", pa.int64()), ("start", pa.int64()), ("window", pa.int64())])
+
+
+def _windows_inside(batches):
+    for batch in A.sliced(batches):
+        _, _, offsets, value, whole = _piece_windows(batch.column(2))
+        inside = np.flatnonzero(whole)
+        text_of = np.searchsorted(offsets, inside, side="right") - 1
+        yield A.rows(_INSIDE, row=batch.column(1).to_numpy()[text_of], start=batch.column(4).to_numpy()[text_of],
+                     window=value[inside].view(np.int64))
+
+
+def _spread_heavy(heavy: list[int], parts: int):
+    """Pieces of heavy shards dealt window by window: equal windows stay together."""
+    def run(batches):
+        def shard_of(value, _, old):
+            return np.where(np.isin(old, heavy), (value % np.uint64(parts)).astype(np.int64), old)
+
+        for batch in A.sliced(batches):
+            yield _recut(batch, shard_of)
+    return run
+
+
+def locate(codes: np.ndarray, repeat: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Starts of windows that are equal to an earlier one, found by automata.
 
     ``codes`` are the words of all pieces in order, each piece followed by a code of
-    its own; ``repeat`` marks the windows that recur, ``first`` the first of each.
+    its own; ``repeat`` marks the windows that recur, ``place`` has where each was first.
     """
     found = np.zeros(len(codes), bool)
-    canonical = repeat & first
+    canonical = repeat & (place == np.arange(len(codes)))
     starts = np.flatnonzero(canonical & ~np.concatenate([[False], canonical[:-1]]))
     ends = np.flatnonzero(canonical & ~np.concatenate([canonical[1:], [False]])) + WINDOW  # one past the phrase
     if not len(starts):
@@ -224,37 +367,21 @@ def locate(codes: np.ndarray, repeat: np.ndarray, first: np.ndarray) -> np.ndarr
     digits = np.stack([_DIGITS[(codes >> (6 * k)) & 63] for k in reversed(range(width))], axis=1).tobytes().decode()
     per = AUTOMATON_WORDS // RUN
     for at in range(0, len(blocks), per):
-        automaton, where = ahocorasick.Automaton(), {}
-        for block in blocks[at:at + per].tolist():
-            where.setdefault(digits[block * width:(block + RUN) * width], []).append(block)
-        for i, block in enumerate(where):
-            automaton.add_word(block, i)
+        automaton = ahocorasick.Automaton()
+        for block in {digits[b * width:(b + RUN) * width] for b in blocks[at:at + per].tolist()}:
+            automaton.add_word(block, 0)
         automaton.make_automaton()
-        hits = [(end + 1 - RUN * width, i) for end, i in automaton.iter(digits)]
-        if not hits:
-            continue
-        x, i = np.array(hits, np.int64).T
-        i, x = i[x % width == 0], x[x % width == 0] // width
-        places = np.array([b for blocks_of in where.values() for b in blocks_of], np.int64)
-        counts = np.array([len(b) for b in where.values()], np.int64)
-        y = places[A.segments((np.cumsum(counts) - counts)[i], counts[i])]
-        x = np.repeat(x, counts[i])
-        # A later place only: phrases are first occurrences.
-        y, x = y[x > y], x[x > y]
-        left = np.zeros(len(x), np.int64)
-        equal = np.ones(len(x), bool)
-        for t in range(1, RUN):
-            equal = equal & (y - t >= 0) & (codes[x - t] == codes[np.maximum(y - t, 0)])
-            left += equal
-        right = np.zeros(len(x), np.int64)
-        equal = np.ones(len(x), bool)
-        last = len(codes) - 1
-        for t in range(WINDOW - RUN):
-            equal = equal & (x + RUN + t <= last) & (codes[np.minimum(x + RUN + t, last)] == codes[np.minimum(y + RUN + t, last)])
-            right += equal
+        x = np.fromiter((end for end, _ in automaton.iter(digits)), np.int64) + 1 - RUN * width
+        x = x[x % width == 0] // width
+        # A window of 20 has a whole block of its phrase in its first 19 words.
         for j in range(RUN):
-            whole = (j <= left) & (WINDOW - RUN - j <= right)
-            found[x[whole] - j] = True
+            w = x[x >= j] - j
+            w = w[repeat[w] & (place[w] < w) & ~found[w]]
+            y = place[w]
+            equal = np.ones(len(w), bool)
+            for t in range(WINDOW):
+                equal &= codes[w + t] == codes[y + t]
+            found[w[equal]] = True
     return found
 
 
@@ -282,10 +409,10 @@ def _automata(batches):
         value = _runs_hash(hashes, WINDOW)
         places = A.segments(begins, n - WINDOW + 1)
         _, first_at, group, times = np.unique(value[places], return_index=True, return_inverse=True, return_counts=True)
-        repeat, first = np.zeros(len(closed), bool), np.zeros(len(closed), bool)
+        repeat, place = np.zeros(len(closed), bool), np.full(len(closed), -1, np.int64)
         repeat[places] = times[group] > 1
-        first[places[first_at]] = True
-        removed = locate(closed, repeat, first)
+        place[places] = places[first_at][group]
+        removed = locate(closed, repeat, place)
         depth = np.zeros(len(closed) + 1, np.int64)
         hit = np.flatnonzero(removed)
         np.add.at(depth, hit, 1)
@@ -318,6 +445,31 @@ def _remove(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, _OUT)], ["row", "out"])
 
 
+def _confirmed(pieces: DataFrame, work: WorkTables, broadcast_bytes: int) -> DataFrame:
+    """The pieces cut down to windows that recur among them."""
+    spark = pieces.sparkSession
+    size = pieces.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, -(-4 * size // SHARD_BYTES))
+    packed = pieces.select("text").mapInArrow(_count_windows(parts), "part int, payload binary")
+    often = work.write(packed.repartition(min(parts, 20_000), "part").sortWithinPartitions("part").mapInArrow(
+        _often, "window long"), "passage-windows")
+    plain = pieces.select(*_RECUT)
+    n_windows = often.count()
+    if 8 * n_windows <= broadcast_bytes:
+        held = [A.unpack(r["payload"])[0] for r in often.mapInArrow(_packed_windows, "payload binary").collect()]
+        sent = spark.sparkContext.broadcast(np.sort(np.concatenate([np.zeros(0, np.uint64), *held])))
+        return plain.mapInArrow(_recut_sent(sent), _PIECES_DDL)
+    if 2 * n_windows <= broadcast_bytes:
+        held = np.zeros(broadcast_bytes, np.uint8)
+        for r in often.mapInArrow(_packed_windows, "payload binary").toLocalIterator():
+            for bit in _bits(A.unpack(r["payload"])[0], 8 * len(held)):
+                np.bitwise_or.at(held, bit >> np.uint64(3), np.uint8(1) << (bit & np.uint64(7)).astype(np.uint8))
+        return plain.mapInArrow(_recut_filtered(spark.sparkContext.broadcast(held)), _PIECES_DDL)
+    inside = plain.mapInArrow(_windows_inside, "row long, start long, window long").distinct()
+    mine = inside.join(often, "window").groupBy("row", "start").agg(F.collect_list("window").alias("own"))
+    return plain.join(mine, ["row", "start"]).select(*_RECUT, "own").mapInArrow(_recut_joined, _PIECES_DDL)
+
+
 def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``docs`` with repeated passages removed; kept words are joined by single spaces."""
     spark = docs.sparkSession
@@ -350,7 +502,16 @@ def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", broadcast
         seen = keyed.mapInArrow(_row_seeds, "row long, seed long").distinct()
         mine = seen.join(placed, "seed").groupBy("row").agg(F.collect_list(F.struct("seed", "shard")).alias("own"))
         pieces = keyed.join(mine, "row").select("doc", "row", "text", "own.seed", "own.shard").mapInArrow(_cut_joined, _PIECES_DDL)
-    pieces = work.write(pieces, "passage-pieces")
+    pieces = work.write(pieces, "passage-wide")
+    release(spark)
+    pieces = work.write(_confirmed(pieces, work, broadcast_bytes), "passage-pieces")
+    work.drop("passage-wide", "passage-windows")
+    release(spark)
+    bytes_of = pieces.groupBy("shard", "piece").agg(F.first(F.octet_length("text")).alias("n")).groupBy("shard").agg(F.sum("n").alias("n"))
+    heavy = [r["shard"] for r in bytes_of.filter(F.col("n") > HEAVY_SHARD * SHARD_BYTES).collect()]
+    if heavy:
+        pieces = work.write(pieces.select(*_RECUT).mapInArrow(_spread_heavy(heavy, parts), _PIECES_DDL), "passage-dealt")
+        work.drop("passage-pieces")
     release(spark)
     once = pieces.groupBy("shard", "piece").agg(
         F.min(F.struct("doc", "row", "start")).alias("at"), F.first("text").alias("text"))
@@ -367,7 +528,7 @@ def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", broadcast
     own = F.transform("inner", lambda r: F.struct((r["a"] + F.col("start")).alias("a"), (r["b"] + F.col("start")).alias("b")))
     gone = places.select("row", F.explode(F.when(F.col("mine") == F.col("at"), own).otherwise(whole)).alias("r"))
     gone = work.write(gone.groupBy("row").agg(F.collect_set("r").alias("ranges")), "passage-gone")
-    work.drop("passage-seeds", "passage-shards", "passage-pieces", "passage-ranges")
+    work.drop("passage-seeds", "passage-shards", "passage-dealt" if heavy else "passage-pieces", "passage-ranges")
     release(spark)
     added = ("n_words", "n_removed")
     shaped = docs.select(others(docs, text, *added).alias("d"), F.col(f"`{text}`").alias("t"), row_of.alias("row"))

@@ -270,3 +270,25 @@ def test_token_edits(spark, odd, none, monkeypatch):
         assert r.edited.n_encoded <= 40
     assert tokens.build(none).count() == 0
     assert SCHEMA
+
+
+@pytest.mark.parametrize("small,shard_bytes", [(passages.BROADCAST_BYTES, 24 << 20), (passages.BROADCAST_BYTES, 100), (100, 24 << 20), (0, 24 << 20)])
+def test_one_hot_passage(spark, monkeypatch, small, shard_bytes):
+    """A passage in all rows sends itself, not a piece for each row; a heavy shard is dealt by windows."""
+    monkeypatch.setattr(passages, "SHARD_BYTES", shard_bytes)
+    sent = {}
+    write = passages.WorkTables.write
+
+    def spied(self, df, name):
+        out = write(self, df, name)
+        sent[name] = out.collect() if name in ("passage-ranges", "passage-dealt") else None
+        return out
+
+    monkeypatch.setattr(passages.WorkTables, "write", spied)
+    hot = [f"hot{i}" for i in range(40)]
+    rows = [(i, " ".join([*(f"a{i}x{k}" for k in range(15)), *hot, *(f"z{i}x{k}" for k in range(15))])) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = passages.dedup(df, broadcast_bytes=small)
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.text) for r in got.collect()), key=str) == plain_passages(rows)
+    assert len(sent["passage-ranges"]) <= 60  # the filter may take some more
+    assert ("passage-dealt" in sent) == (shard_bytes == 100)
