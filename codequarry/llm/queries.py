@@ -6,8 +6,9 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codequarry.llm import decontaminate, katz, licences, lines, mixing, nearjoin, passages, rules, secrets, tokens
+from codequarry.llm import decontaminate, importance, katz, licences, lines, mixing, nearjoin, nearvectors, passages, rules, secrets, tokens
 from codequarry.llm import oracles as SQL
+from codequarry.llm import oracles_later as LATER
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +81,15 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearjoin.join(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies")
 
 
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearvectors.join(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     # Tested against a plain model and its sums to one; the base score against SQL in tests.
@@ -97,4 +107,6 @@ QUERIES = {
     "op9_line_dedup": (op9_line_dedup, SQL.LINE_DEDUP),
     # Tested against all pairs.
     "op10_ngram_join": (op10_ngram_join, None),
+    "op11_importance_resample": (op11_importance_resample, LATER.IMPORTANCE),
+    "op13_near_vectors": (op13_near_vectors, LATER.NEAR_VECTORS),
 }
