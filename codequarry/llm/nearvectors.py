@@ -14,7 +14,7 @@ of pairs: counts of links and a spanning set of links alone leave a task.
 Equal vectors are one class from the start, so a vector that is a third of all rows is
 compared once. A cell of very many vectors is dealt into blocks of rows, and each pair
 of such blocks is a task's work of bounded size; all that meet are compared, none is
-dropped. The shuffle is a fixed number of copies of each vector (at most 18 at 64
+dropped. The shuffle is a fixed number of copies of each vector (at most 10 at 64
 coordinates) as long as cells are small; the comparisons within a crowded cell grow with
 its square, as vectors without any clusters make them.
 
@@ -44,10 +44,11 @@ from codequarry.llm.tables import WorkTables, partitions
 
 THRESHOLD = 0.95
 BLOCK_WIDTH = 16  # coordinates of a block
-GRID = 3  # coordinates of a block that place a vector in the grid
+GRID = 2  # coordinates of a block that place a vector in the grid
 CELL_ROWS = 8192  # vectors of a block of rows
 TILE = 1024
 SLACK = 1e-9
+ROUGH = 1e-5  # more than single precision can be off
 
 
 def rotation(width: int) -> np.ndarray:
@@ -160,7 +161,12 @@ class _Rows:
         self.keys = np.stack([np.concatenate([p[k] for p in pieces]) for k in (0, 1)], axis=1)
         self.copies = np.concatenate([p[2] for p in pieces])
         self.home = np.concatenate([p[3] for p in pieces]).astype(bool)
-        self.unit = units(np.concatenate([p[4] for p in pieces]).reshape(-1, width))
+        matrix = np.concatenate([p[4] for p in pieces]).reshape(-1, width)
+        # Those at home come first: visitors are not compared with each other.
+        order = np.argsort(~self.home, kind="stable")
+        self.keys, self.copies, self.home = self.keys[order], self.copies[order], self.home[order]
+        self.homes = int(self.home.sum())
+        self.unit = units(matrix[order])
         self.y = self.unit @ turn
         self.square = np.stack([(self.y[:, c] ** 2).sum(axis=1) for c in cut], axis=1)
 
@@ -168,6 +174,20 @@ class _Rows:
         return len(self.copies)
 
 
+    def picked(self, at: np.ndarray) -> _Rows:
+        out = object.__new__(_Rows)
+        for name in ("keys", "copies", "home", "unit", "y", "square"):
+            setattr(out, name, getattr(self, name)[at])
+        return out
+
+    def factors(self, columns: slice, number: int) -> tuple[np.ndarray, np.ndarray]:
+        """Single-precision matrices; the product of one with another's is the block's squared distances."""
+        y, square = self.y[:, columns], self.square[:, number, None]
+        one = np.ones((len(y), 1))
+        return (np.concatenate([-2 * y, square, one], axis=1).astype(np.float32),
+                np.concatenate([y, one, square], axis=1).astype(np.float32))
+
+
 def _within(a: np.ndarray, b: np.ndarray, turn: np.ndarray, share: float) -> np.ndarray:
     """Whether pairs keep within the share in the columns of ``turn``; the same wherever a pair is met."""
     out = np.zeros((len(a), turn.shape[1]))
@@ -179,31 +199,19 @@ def _within(a: np.ndarray, b: np.ndarray, turn: np.ndarray, share: float) -> np.
     return total <= share
 
 
-def _links(a: _Rows, b: _Rows, i: int, cut: list[slice], turn: np.ndarray, threshold: float, inside: bool):
-    """(rows of a, rows of b, matrix): links that count in block ``i``; only rows that have near ones."""
+def _links(a: _Rows, b: _Rows, i: int, cut: list[slice], turn: np.ndarray, threshold: float) -> np.ndarray:
+    """Matrix of the links that count in block ``i``, in double precision."""
     share = 2 * (1 - threshold) / len(cut)
-
-    def distances(j, ra, rb):
-        return a.square[ra, j][:, None] + b.square[rb, j][None, :] - 2 * (a.y[ra, cut[j]] @ b.y[rb, cut[j]].T)
-
-    every = slice(None)
-    near = distances(i, every, every) <= share + SLACK
-    near &= a.home[:, None] | b.home[None, :]
-    if inside:
-        near = np.triu(near, 1)
-    ra, rb = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
-    if not len(ra):
-        return ra, rb, near[:0, :0]
-    near = near[np.ix_(ra, rb)] & (a.unit[ra] @ b.unit[rb].T >= threshold)
+    near = (a.home[:, None] | b.home[None, :]) & (a.unit @ b.unit.T >= threshold)
     for j in range(i + 1):
-        d = distances(j, ra, rb)
+        d = a.square[:, j][:, None] + b.square[:, j][None, :] - 2 * (a.y[:, cut[j]] @ b.y[:, cut[j]].T)
         passes = d <= share
         x, y = np.nonzero(near & (np.abs(d - share) <= SLACK))
         for start in range(0, len(x), 1 << 16):  # too close to call by products
             p, q = x[start:start + (1 << 16)], y[start:start + (1 << 16)]
-            passes[p, q] = _within(a.unit[ra[p]], b.unit[rb[q]], turn[:, cut[j]], share)
+            passes[p, q] = _within(a.unit[p], b.unit[q], turn[:, cut[j]], share)
         near &= passes if j == i else ~passes
-    return ra, rb, near
+    return near
 
 
 def _connected(link: np.ndarray):
@@ -248,24 +256,30 @@ def _compare(threshold: float):
     return run
 
 
-def _slice(rows: _Rows, start: int) -> _Rows:
-    out = object.__new__(_Rows)
-    for name in ("keys", "copies", "home", "unit", "y", "square"):
-        setattr(out, name, getattr(rows, name)[start:start + TILE])
-    return out
-
-
 def _group(left: _Rows, right: _Rows, block: int, cut, turn, threshold: float, inside: bool):
-    """Counts of links and spanning links of one pair of blocks of rows, tile by tile."""
+    """Counts of links and spanning links of one pair of blocks of rows, tile by tile.
+
+    A tile is looked through in single precision, with a margin; only rows and columns
+    that have something near are computed in double precision.
+    """
     shift = 0 if inside else len(left)
     links = np.zeros(len(left) + (0 if inside else len(right)), np.int64)
     edges = []
-    for x in range(0, len(left), TILE):
-        for y in range(x if inside else 0, len(right), TILE):
-            ra, rb, near = _links(_slice(left, x), _slice(right, y), block, cut, turn, threshold, inside and x == y)
+    limit = np.float32(2 * (1 - threshold) / len(cut) + ROUGH)
+    first, second = left.factors(cut[block], block)[0], right.factors(cut[block], block)[1]
+    for x in range(0, left.homes if inside else len(left), TILE):
+        for y in range(x if inside else 0, len(right) if x < left.homes else right.homes, TILE):
+            near = first[x:x + TILE] @ second[y:y + TILE].T <= limit
+            if inside and x == y:
+                near = np.triu(near, 1)
+            rows, columns = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+            if not len(rows):
+                continue
+            near = near[np.ix_(rows, columns)]
+            rows, columns = rows + x, columns + y
+            near &= _links(left.picked(rows), right.picked(columns), block, cut, turn, threshold)
             if not near.any():
                 continue
-            rows, columns = ra + x, rb + y
             links[rows] += near @ right.copies[columns]
             links[columns + shift] += left.copies[rows] @ near
             some, top, others, over = _connected(near)
