@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codequarry.llm import decontaminate, importance, katz, licences, lines, mixing, nearjoin, nearvectors, passages, rules, secrets, tokens
+from codequarry.llm import decontaminate, importance, katz, licences, lines, mixing, nearjoin, nearvectors, passages, rules, secrets, tokens, trie
 from codequarry.llm import oracles as SQL
 from codequarry.llm import oracles_later as LATER
 
@@ -86,6 +86,10 @@ def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.build(_table(spark, sf_dir, "conversations")).drop("a", "b")
+
+
 def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearvectors.join(_table(spark, sf_dir, "embeddings"))
 
@@ -108,5 +112,6 @@ QUERIES = {
     # Tested against all pairs.
     "op10_ngram_join": (op10_ngram_join, None),
     "op11_importance_resample": (op11_importance_resample, LATER.IMPORTANCE),
+    "op12_conversation_trie": (op12_conversation_trie, LATER.PREFIX_TRIE),
     "op13_near_vectors": (op13_near_vectors, LATER.NEAR_VECTORS),
 }
