@@ -60,20 +60,20 @@ def nul_ratio(header: Column) -> Column:
     return (F.octet_length(header) - without) / F.octet_length(header)
 
 
-def is_binary(content: Column | str, strict_header: bool = True) -> Column:
-    """Judge the first 8192 bytes: too many NULs, or not UTF-8; empty is text.
+def is_binary(content: Column | str, header_bytes: int | None = None, strict_header: bool = True) -> Column:
+    """Too many NULs, or not UTF-8; empty is text. All bytes count, or the first ``header_bytes``.
 
     A character cut by the header's end makes a file binary; with
     ``strict_header=False`` such a cut tail is forgiven.
     """
-    header = F.substring(col(content), 1, V.BINARY_HEADER_BYTES)
+    header = col(content) if header_bytes is None else F.substring(col(content), 1, header_bytes)
     valid = F.is_valid_utf8(header.cast("string"))
-    if not strict_header:
+    if header_bytes is not None and not strict_header:
         tails = [
-            F.is_valid_utf8(F.substring(header, 1, V.BINARY_HEADER_BYTES - n).cast("string"))
+            F.is_valid_utf8(F.substring(header, 1, header_bytes - n).cast("string"))
             for n in (1, 2, 3)
         ]
-        cut = F.octet_length(col(content)) > V.BINARY_HEADER_BYTES
+        cut = F.octet_length(col(content)) > header_bytes
         valid = valid | (cut & reduce(or_, tails))
     return (F.octet_length(header) > 0) & (
         (nul_ratio(header) > V.BINARY_NUL_RATIO) | ~valid
@@ -98,5 +98,5 @@ def skip_reason(
         reason = reason.when(col(length) > limits.file_bytes, "too large")
     reason = reason.when(col(length) == 0, "empty")
     if content is not None:
-        reason = reason.when(is_binary(content, strict_header), "binary")
+        reason = reason.when(is_binary(content, limits.binary_header_bytes, strict_header), "binary")
     return reason

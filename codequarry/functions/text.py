@@ -137,6 +137,10 @@ def newline_count(c: Column | str) -> Column:
     return F.length(col(c)) - F.length(F.replace(col(c), F.lit("\n"), F.lit("")))
 
 
+def shown(c: Column | str, chars: int | None) -> Column:
+    return col(c) if chars is None else head(c, chars)
+
+
 def fenced(c: Column | str) -> Column:
     return F.concat(F.lit("```python\n"), col(c), F.lit("\n```"))
 
@@ -150,24 +154,27 @@ def hit_block(kind: Column, name: Column, path: Column, line: Column, body: Colu
     return F.concat(heading, fenced(body))
 
 
-def summary_block(name: Column, path: Column, body: Column) -> Column:
+def summary_block(name: Column, path: Column, body: Column, chars: int | None = V.SUMMARY_CHARS) -> Column:
     heading = F.concat(F.lit("### "), name, F.lit(" ("), path, F.lit(")\n"))
-    return F.concat(heading, fenced(head(body, V.SUMMARY_CHARS)))
+    return F.concat(heading, fenced(shown(body, chars)))
 
 
 def entity_line(kind: Column, name: Column, path: Column) -> Column:
     return F.concat(F.lit("- "), kind, F.lit(": `"), name, F.lit("` in `"), path, F.lit("`"))
 
 
-def offline_answer(context: Column | str, question: Column | str) -> Column:
-    """Numbered snippets of a context, as shown where no model answers."""
+def offline_answer(
+    context: Column | str, question: Column | str, snippets: int | None = V.ANSWER_SNIPPETS,
+    chars: int | None = V.ANSWER_CHARS,
+) -> Column:
+    """Numbered snippets of a context, as shown where no model answers; None is all of them, and whole."""
     pieces = F.filter(
         F.transform(F.split(col(context), "```", -1), strip), lambda piece: piece != ""
     )
     numbered = F.transform(
-        F.slice(pieces, 1, V.ANSWER_SNIPPETS),
+        pieces if snippets is None else F.slice(pieces, 1, snippets),
         lambda piece, i: F.concat(
-            (i + 1).cast("string"), F.lit(". "), head(piece, V.ANSWER_CHARS), F.lit("...\n")
+            (i + 1).cast("string"), F.lit(". "), shown(piece, chars), F.lit("...\n")
         ),
     )
     opening = F.array(

@@ -24,15 +24,22 @@ class Limits:
     requests_per_window: int = 60
     window_seconds: int = 60
     tree_depth: int | None = None
+    # Bytes of a file that decide whether it is binary.
+    binary_header_bytes: int | None = None
     # Of the text that a row of `entities` shows for Python sources; facts and chunks hold it whole.
-    module_chars: int | None = V.MODULE_CHARS
-    block_chars: int | None = V.BLOCK_CHARS
+    module_chars: int | None = None
+    block_chars: int | None = None
+    # Of a hit shown in a context, of one in a summary, and of a snippet in an offline answer.
+    hit_chars: int | None = V.HIT_CHARS
+    summary_chars: int | None = V.SUMMARY_CHARS
+    answer_chars: int | None = V.ANSWER_CHARS
+    answer_snippets: int | None = V.ANSWER_SNIPPETS
 
 
 DEFAULT_LIMITS = Limits()
-WHOLE_TEXT = Limits(module_chars=None, block_chars=None)
 # The bounds of the service that these jobs follow, for whoever wants its cuts.
 SERVICE_LIMITS = Limits(
     file_bytes=512 * 1024, repository_files=5000, repository_bytes=500 * 1024 * 1024,
-    question_chars=2000, tree_depth=6,
+    question_chars=2000, tree_depth=6, binary_header_bytes=V.BINARY_HEADER_BYTES,
+    module_chars=V.MODULE_CHARS, block_chars=V.BLOCK_CHARS,
 )

@@ -70,8 +70,8 @@ def chunk_rows(entities_df: DataFrame) -> DataFrame:
     """Chunks of entities, repeats included (``repeated`` is carried along).
 
     A text longer than a chunk gives further ones: the first has the entity's id, the
-    others ``id#2``, ``id#3`` and so on. All of it is redacted, so a docstring or
-    signature cannot carry a secret into a chunk.
+    others ``id#2``, ``id#3`` and so on; ``entity_id`` and ``part`` name them apart. All
+    of it is redacted, so a docstring or signature cannot carry a secret into a chunk.
     """
     whole = _whole_text()
     rows = entities_df.filter(F.col("entity_type") != "Import").withColumn("_whole", whole)
@@ -82,6 +82,8 @@ def chunk_rows(entities_df: DataFrame) -> DataFrame:
     numbered = F.concat("id", F.lit("#"), (F.col("_at") + 1).cast("string"))
     return rows.select(
         F.when(F.col("_at") == 0, F.col("id")).otherwise(numbered).alias("id"),
+        F.col("id").alias("entity_id"),
+        (F.col("_at") + 1).alias("part"),
         "repository_id",
         "file_path",
         F.col("name").alias("entity_name"),

@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from codequarry import fixed_values as V
@@ -119,11 +120,24 @@ def facts(files: DataFrame) -> DataFrame:
 
 
 def parse_errors(facts_df: DataFrame) -> DataFrame:
+    """Lines that the reader of a file had to leave out, and why; all else in the file is read."""
     return facts_df.filter(F.col("kind") == "Error").select(
-        "repository_id", "rel_path", "parse_error"
+        "repository_id", "rel_path", "line_start", "line_end", "parse_error"
     )
 
 
+def error_spans(errors: DataFrame) -> DataFrame:
+    """``parse_errors`` as (repository_id, rel_path, line_start, line_end, errors): lines
+    that lie next to each other are one span, with the number of its errors."""
+    by_file = Window.partitionBy("repository_id", "rel_path").orderBy("line_start", "line_end")
+    reached = F.max("line_end").over(by_file.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.coalesce(F.col("line_start") > reached + 1, F.lit(True)).cast("int")
+    spans = errors.withColumn("_new", new).withColumn("_span", F.sum("_new").over(by_file))
+    return spans.groupBy("repository_id", "rel_path", "_span").agg(
+        F.min("line_start").alias("line_start"), F.max("line_end").alias("line_end"), F.count(F.lit(1)).alias("errors"),
+    ).drop("_span")
+
+
 def _docstring_text(raw: Column) -> Column:
     # Quotes are stripped as character sets; a string prefix blocks the front.
     for quote in ('"', "'", '"', "'"):

@@ -79,10 +79,10 @@ def _micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def _moments(requests: DataFrame, client: str, ts: str) -> DataFrame:
+def _moments(requests: DataFrame, client: str, ts: str, count: str | None = None) -> DataFrame:
     """Requests of a client at one instant, counted before any shuffle."""
     return requests.groupBy(F.col(client).alias("client"), _micros(ts).alias("t")).agg(
-        F.count(F.lit(1)).alias("n")
+        (F.sum(count) if count else F.count(F.lit(1))).alias("n")
     )
 
 
@@ -122,31 +122,47 @@ def recent_requests(
     return counted.select("client", "t", F.col("n").alias("requests"), "recent")
 
 
-def _with_stretch(counted: DataFrame) -> DataFrame:
-    """Add ``stretch``: start of the unbroken run of requests an instant is in.
+def _carry(marked: DataFrame, column: str, back: bool) -> DataFrame:
+    """(client, bucket, value): the nearest value of ``column`` in the buckets before, or behind, a client's."""
+    per_bucket = marked.groupBy("client", "bucket").agg((F.min if back else F.max)(column).alias("_value"))
+    order = Window.partitionBy("client").orderBy("bucket")
+    if back:
+        found = F.first("_value", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing))
+    else:
+        found = F.last("_value", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return per_bucket.select("client", "bucket", found.alias(f"_carried{column}_{'next' if back else 'last'}"))
 
-    A run starts where the window before it is empty; nothing admitted earlier
-    can matter to it. The last start is carried over buckets through one row
-    per client and bucket.
+
+def _with_chain(counted: DataFrame, limit: int, span: int) -> DataFrame:
+    """Add ``chain``, null where all requests of an instant are admitted whatever came before.
+
+    An instant with at most ``limit`` requests in its raw window is admitted whole, as
+    what is admitted is never more than what came. Only instants over it depend on the
+    state, and they do so only through one another while less than a window apart:
+    such a chain is replayed from the window before it, in which everything is known.
+    Where a client stays within the limit for a window, its chains part.
     """
-    starts = F.when(F.col("recent") == F.col("n"), F.col("t"))
-    marked = counted.withColumn("_start", starts)
-    per_bucket = marked.groupBy("client", "bucket").agg(F.max("_start").alias("_last"))
-    before = Window.partitionBy("client").orderBy("bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    carried = per_bucket.select(
-        "client", "bucket", F.last("_last", ignorenulls=True).over(before).alias("_carried")
-    )
-    inside = Window.partitionBy("client", "bucket").orderBy("t").rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    joined = marked.withColumn("_inside", F.last("_start", ignorenulls=True).over(inside)).join(
-        carried, ["client", "bucket"]
-    )
-    return joined.withColumn("stretch", F.coalesce("_inside", "_carried")).drop(
-        "_start", "_inside", "_carried"
+    inside = Window.partitionBy("client", "bucket").orderBy("t")
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    marked = counted.withColumn("_over", F.when(F.col("recent") > limit, F.col("t")))
+    near = marked.withColumn(
+        "_before", F.last("_over", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    ).withColumn("_after", F.first("_over", ignorenulls=True).over(inside.rowsBetween(0, Window.unboundedFollowing)))
+    near = near.join(_carry(marked, "_over", False), ["client", "bucket"]).join(
+        _carry(marked, "_over", True), ["client", "bucket"])
+    before = F.coalesce("_before", "_carried_over_last")
+    after = F.coalesce("_after", "_carried_over_next")
+    near = near.select("client", "bucket", "t", "n", "_over", before.alias("_before"), after.alias("_after"))
+    apart = F.col("_before").isNull() | (F.col("_after") - F.col("_before") >= span)
+    starts = near.withColumn("_start", F.when(F.col("_over").isNotNull() & apart, F.col("t")))
+    joined = starts.withColumn("_own", F.last("_start", ignorenulls=True).over(upto)).join(
+        _carry(starts, "_start", False), ["client", "bucket"])
+    running = F.coalesce("_own", "_carried_start_last")
+    chain = (
+        F.when(F.col("_over").isNotNull(), running)
+        .when(F.col("_after") - F.col("t") < span, F.when(apart, F.col("_after")).otherwise(running))
     )
+    return joined.select("client", "t", "n", chain.alias("chain"))
 
 
 def admit(kept: deque, t: int, n: int, limit: int, span: int) -> int:
@@ -162,11 +178,11 @@ def _replay(limit: int, span: int, out: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, kept = None, deque()
         for batch in batches:
-            clients, stretches, times, counts = (c.to_pylist() for c in batch.columns)
+            clients, chains, times, counts = (c.to_pylist() for c in batch.columns)
             admitted = []
-            for client, stretch, t, n in zip(clients, stretches, times, counts):
-                if (client, stretch) != current:
-                    current, kept = (client, stretch), deque()
+            for client, chain, t, n in zip(clients, chains, times, counts):
+                if (client, chain) != current:
+                    current, kept = (client, chain), deque()
                 admitted.append(admit(kept, t, n, limit, span))
             columns = [batch.column(0), batch.column(2), batch.column(3), pa.array(admitted, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, schema=out)
@@ -177,21 +193,25 @@ def _replay(limit: int, span: int, out: pa.Schema):
 def admitted_requests(
     requests: DataFrame, client: str = "client", ts: str = "ts",
     limit: int = DEFAULT_LIMITS.requests_per_window,
-    seconds: int = DEFAULT_LIMITS.window_seconds,
+    seconds: int = DEFAULT_LIMITS.window_seconds, count: str | None = None,
 ) -> DataFrame:
     """Per client and instant: requests, and how many of them are admitted.
 
+    A row is one request, or as many as its column ``count`` says.
+
     A request is admitted while fewer than ``limit`` admitted ones lie in the
-    window before it; rejected ones leave no trace. That makes each unbroken
-    run of requests sequential, and nothing more: runs are spread over tasks,
-    and read through in time order with at most ``limit`` times in memory.
+    window before it; rejected ones leave no trace. Most instants are settled by the
+    raw counts alone; the chains of those that are not are spread over tasks, and read
+    through in time order with at most ``limit`` times in memory.
     """
     span = seconds * 1_000_000
-    runs = _with_stretch(_with_recent(_moments(requests, client, ts), span))
+    chained = _with_chain(_with_recent(_moments(requests, client, ts, count), span), limit, span)
+    settled = chained.filter(F.col("chain").isNull()).select(
+        "client", "t", F.col("n").alias("requests"), F.col("n").alias("admitted"))
     ordered = (
-        runs.select("client", "stretch", "t", "n")
-        .repartition("client", "stretch")
-        .sortWithinPartitions("client", "stretch", "t")
+        chained.filter(F.col("chain").isNotNull()).select("client", "chain", "t", "n")
+        .repartition("client", "chain")
+        .sortWithinPartitions("client", "chain", "t")
     )
     schema = T.StructType([
         T.StructField("client", requests.schema[client].dataType),
@@ -199,7 +219,7 @@ def admitted_requests(
         T.StructField("requests", T.LongType()),
         T.StructField("admitted", T.LongType()),
     ])
-    return ordered.mapInArrow(_replay(limit, span, to_arrow_schema(schema)), schema)
+    return settled.unionByName(ordered.mapInArrow(_replay(limit, span, to_arrow_schema(schema)), schema))
 
 
 def admission_flags(

@@ -18,11 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from codequarry.fixed_values import HIT_CHARS
-from codequarry.functions.text import head
+from codequarry.functions.text import shown
 from codequarry.functions.vectors import NO_SCORE, NORM_GUARD, SCORE_DECIMALS
 from codequarry.limits import DEFAULT_LIMITS
-from codequarry.operators.relational import attach, top_n
+from codequarry.operators.relational import attach, first_wins, top_n
 from codequarry.session import materialise
 
 # Queries travel as a broadcast up to this many, and up to this size.
@@ -43,16 +42,17 @@ SCORES_HELD = 2_000_000
 def top_k(
     chunks: DataFrame, queries: DataFrame, k: int | None = None, by: str | None = "repository_id",
     chunk_id: str = "id", query_id: str = "query_id", vector: str = "embedding",
-    broadcast_queries: int = BROADCAST_QUERIES,
+    broadcast_queries: int = BROADCAST_QUERIES, one_of: str | None = None,
 ) -> DataFrame:
     """``query_id, [by,] id, score, rank`` of the k best chunks of each query.
 
     With ``by`` a query sees only chunks of its own key. Ties go to the lower
-    id; a chunk without a usable vector scores -1 and stays in the ranking.
+    id; a chunk without a usable vector scores -1 and stays in the ranking. With
+    ``one_of`` only the best of the chunks that agree in that column is a hit.
     """
-    left = _side(chunks, by, chunk_id, F.col(vector).cast("array<float>"), "id")
+    left = _side(chunks, by, chunk_id, F.col(vector).cast("array<float>"), "id", one_of)
     right = _side(queries, by, query_id, F.col(vector).cast("array<double>"), "query_id")
-    return _ranked(_Vectors, left, right, k, by, chunk_id, query_id, broadcast_queries)
+    return _ranked(_Vectors, left, right, k, by, chunk_id, query_id, broadcast_queries, one_of)
 
 
 def words_of(text: Column) -> Column:
@@ -72,15 +72,18 @@ def keyword_top_k(
     return _ranked(_Words, left, right, k, by, chunk_id, query_id, broadcast_queries)
 
 
-def _side(df: DataFrame, by: str | None, key: str, value: Column, name: str) -> DataFrame:
+def _side(
+    df: DataFrame, by: str | None, key: str, value: Column, name: str, one_of: str | None = None
+) -> DataFrame:
     return df.select(
-        F.col(by).alias("by") if by else F.lit(0).alias("by"), F.col(key).alias(name), value.alias("v")
+        F.col(by).alias("by") if by else F.lit(0).alias("by"), F.col(key).alias(name), value.alias("v"),
+        *([F.col(one_of).alias("one_of")] if one_of else []),
     )
 
 
 def _ranked(
     scorer, left: DataFrame, right: DataFrame, k: int | None, by: str | None, chunk_id: str,
-    query_id: str, broadcast_queries: int,
+    query_id: str, broadcast_queries: int, one_of: str | None = None,
 ) -> DataFrame:
     k = k or DEFAULT_LIMITS.hits
     schema = T.StructType([
@@ -88,6 +91,7 @@ def _ranked(
         T.StructField("query_id", right.schema["query_id"].dataType),
         T.StructField("id", left.schema["id"].dataType),
         T.StructField("score", T.DoubleType()),
+        *([left.schema["one_of"]] if one_of else []),
     ])
     # Measured before anything is fetched.
     measured = right.agg(F.count(F.lit(1)), F.sum(scorer.weight(F.col("v")))).first()
@@ -96,24 +100,32 @@ def _ranked(
         hits = left.mapInArrow(_scan(scorer, sent, k, schema), schema)
     else:
         hits = _block_join(scorer, left, right, k, schema)
-    best = top_n(hits, ["query_id"], [F.desc("score"), F.col("id")], k)
+    order = [F.desc("score"), F.col("id")]
+    if one_of:
+        hits = first_wins(hits, ["query_id", "one_of"], order)
+    best = top_n(hits, ["query_id"], order, k)
+    if one_of:
+        best = best.withColumnRenamed("one_of", one_of) if one_of not in (chunk_id, query_id, by) else best.drop("one_of")
     named = best.withColumnsRenamed({"id": chunk_id, "query_id": query_id})
     return named.withColumnRenamed("by", by) if by else named.drop("by")
 
 
 def hit_rows(
-    hits: DataFrame, chunks: DataFrame, by: str | None = "repository_id", chunk_id: str = "id"
+    hits: DataFrame, chunks: DataFrame, by: str | None = "repository_id", chunk_id: str = "id",
+    chars: int | None = DEFAULT_LIMITS.hit_chars,
 ) -> DataFrame:
-    """Attach name, place and cut content to ranked hits.
+    """Attach entity, name, place and (cut) content to ranked hits.
 
     The hits, a few per question, are written down first: the search behind
     them then runs once.
     """
     hits = materialise(hits, "hits")
     on = ([by] if by else []) + [chunk_id]
+    # A chunk names its entity, unless it is one itself.
+    entity = [c for c in ("entity_id", "part") if c in chunks.columns and c not in hits.columns]
     details = chunks.select(
-        *on, "entity_name", "entity_type", "file_path",
-        head("content", HIT_CHARS).alias("content"), "line_start", "line_end",
+        *on, *entity, "entity_name", "entity_type", "file_path",
+        shown("content", chars).alias("content"), "line_start", "line_end",
     )
     # A few hits per question against all chunks: the hits are the small side.
     wanted = hits.select(*on).distinct()
@@ -146,14 +158,15 @@ def _scores(vectors: np.ndarray, usable: np.ndarray, queries: np.ndarray) -> np.
 
 
 class _Best:
-    """Running k best (score, id) of each query of a task.
+    """Running k best (score, id, entity) of each query of a task, one of each entity.
 
-    Scores compare rounded; what may still round up to the k-th stays in play.
+    Scores compare rounded; what may still round up to the k-th stays in play. Without
+    entities (None) each row is one of its own.
     """
 
     def __init__(self, k: int):
         self.k = k
-        self.rows: dict[int, list[tuple[float, object]]] = {}
+        self.rows: dict[int, list[tuple[float, object, object]]] = {}
 
     def floors(self, queries: np.ndarray) -> np.ndarray:
         """Score below which a row cannot enter, per query."""
@@ -162,18 +175,35 @@ class _Best:
             rows[-1][0] - ROUNDING if len(rows) == self.k else -np.inf for rows in kept
         ])
 
-    def add(self, query: int, scores: np.ndarray, ids: pa.Array, floor: float = -np.inf) -> None:
+    def add(
+        self, query: int, scores: np.ndarray, ids: pa.Array, floor: float = -np.inf,
+        entities: pa.DictionaryArray | None = None,
+    ) -> None:
         positions = np.flatnonzero(scores >= floor)
+        codes = None if entities is None else entities.indices.to_numpy(zero_copy_only=False)[positions]
+        if codes is not None and len(positions):
+            # Of an entity only what may round to its best score.
+            top = np.full(len(entities.dictionary), -np.inf)
+            np.maximum.at(top, codes, scores[positions])
+            near = scores[positions] >= top[codes] - ROUNDING
+            positions, codes = positions[near], codes[near]
         if len(positions) > 2 * self.k:
             # Everything that ties with the k-th score stays until ids decide.
             above = scores[positions]
-            floor = np.partition(above, -self.k)[-self.k] - ROUNDING
-            positions = positions[above >= floor]
+            best = above if codes is None else np.sort(top[np.unique(codes)])
+            if len(best) > self.k:
+                floor = np.partition(best, -self.k)[-self.k] - ROUNDING
+                positions = positions[above >= floor]
         if len(positions) == 0:
             return
         rounded = np.round(scores[positions], SCORE_DECIMALS).tolist()
-        found = zip(rounded, ids.take(pa.array(positions)).to_pylist())
-        merged = sorted([*self.rows.get(query, ()), *found], key=lambda row: (-row[0], row[1]))
+        picked = pa.array(positions)
+        names = ids.take(picked).to_pylist()
+        of = names if entities is None else entities.take(picked).to_pylist()
+        merged = sorted([*self.rows.get(query, ()), *zip(rounded, names, of)], key=lambda row: (-row[0], row[1]))
+        if entities is not None:
+            seen: set = set()
+            merged = [row for row in merged if not (row[2] in seen or seen.add(row[2]))]
         self.rows[query] = merged[: self.k]
 
 
@@ -204,25 +234,28 @@ class _Vectors:
             mine = {key: rows[sizes[rows] == width] for key, rows in of_key.items()}
             self.widths[width] = matrix, {key: rows for key, rows in mine.items() if len(rows)}
 
-    def add(self, keys: pa.Array, ids: pa.Array, column: pa.Array, best: _Best) -> None:
+    def add(
+        self, keys: pa.Array, ids: pa.Array, column: pa.Array, best: _Best, entities: pa.Array | None = None
+    ) -> None:
         here = set(keys.unique().to_pylist())
         for width, (matrix, by_key) in self.widths.items():
             vectors, usable = _matrix(column, width)
             if width == 0:  # queries without a vector
                 usable[:] = False
             for key in here & by_key.keys():
-                self._add_key(keys, ids, key, by_key[key], matrix, vectors, usable, best)
+                self._add_key(keys, ids, key, by_key[key], matrix, vectors, usable, best, entities)
 
     @staticmethod
-    def _add_key(keys, ids, key, wanted, matrix, vectors, usable, best: _Best) -> None:
+    def _add_key(keys, ids, key, wanted, matrix, vectors, usable, best: _Best, entities=None) -> None:
         rows = _rows_of(keys, key)
         own_ids = ids.take(pa.array(rows))
+        own = None if entities is None else entities.take(pa.array(rows)).dictionary_encode("encode")
         for start in range(0, len(wanted), QUERY_STEP):
             step = wanted[start : start + QUERY_STEP]
             table = _scores(vectors[rows], usable[rows], matrix[step])
             floors = best.floors(step)
             for row in np.flatnonzero(table.max(axis=1) >= floors).tolist():
-                best.add(int(step[row]), table[row], own_ids, floors[row])
+                best.add(int(step[row]), table[row], own_ids, floors[row], own)
 
 
 class _Words:
@@ -241,7 +274,9 @@ class _Words:
             for word in words or ():
                 self.asking.setdefault((key, word), []).append(query)
 
-    def add(self, keys: pa.Array, ids: pa.Array, column: pa.Array, best: _Best) -> None:
+    def add(
+        self, keys: pa.Array, ids: pa.Array, column: pa.Array, best: _Best, entities: pa.Array | None = None
+    ) -> None:
         rows = max(1, SCORES_HELD // max(self.queries, 1))
         for start in range(0, len(ids), rows):
             part = zip(keys.slice(start, rows).to_pylist(), column.slice(start, rows).to_pylist())
@@ -263,14 +298,22 @@ def _rows_of(keys: pa.Array, key) -> np.ndarray:
 def _result(best: _Best, few: pa.Table, schema: pa.Schema) -> pa.Table:
     query_ids, keys = few["query_id"].to_pylist(), few["by"].to_pylist()
     rows = [
-        (keys[query], query_ids[query], chunk, score)
+        (keys[query], query_ids[query], chunk, score, entity)
         for query, found in best.rows.items()
-        for score, chunk in found
+        for score, chunk, entity in found
     ]
-    columns = list(zip(*rows)) if rows else [[], [], [], []]
+    columns = list(zip(*rows)) if rows else [[]] * 5
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def _columns_of(batch: pa.RecordBatch) -> tuple:
+    return tuple(batch.column(name) for name in ("by", "id", "v"))
+
+
+def _entities_of(batch: pa.RecordBatch) -> pa.Array | None:
+    return batch.column("one_of") if "one_of" in batch.schema.names else None
+
+
 def _scan(scorer, broadcast, k: int, schema: T.StructType):
     out = to_arrow_schema(schema)
 
@@ -278,7 +321,7 @@ def _scan(scorer, broadcast, k: int, schema: T.StructType):
         few = broadcast.value
         block, best = scorer(few), _Best(k)
         for batch in batches:
-            block.add(batch.column("by"), batch.column("id"), batch.column("v"), best)
+            block.add(*_columns_of(batch), best, _entities_of(batch))
         yield from _result(best, few, out).to_batches()
 
     return run
@@ -305,7 +348,7 @@ def _block_join(
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     own = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
     chunk_side = attach(left, sizes, ["by"], "inner").select(
-        "by", "id", "v",
+        *left.columns,
         own("id", "n_chunk_blocks").alias("cb"),
         F.explode(every("n_query_blocks")).alias("qb"),
     )
@@ -319,8 +362,8 @@ def _block_join(
     def score(chunk_block: pa.Table, query_block: pa.Table) -> pa.Table:
         best = _Best(k)
         if chunk_block.num_rows and query_block.num_rows:
-            columns = (chunk_block[name].combine_chunks() for name in ("by", "id", "v"))
-            scorer(query_block).add(*columns, best)
+            chunk_block = chunk_block.combine_chunks().to_batches()[0]
+            scorer(query_block).add(*_columns_of(chunk_block), best, _entities_of(chunk_block))
         return _result(best, query_block, out)
 
     key = ["by", "cb", "qb"]

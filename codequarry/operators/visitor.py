@@ -11,6 +11,8 @@ import io
 import re
 import tokenize
 
+from codequarry.operators.recovery import UNREADABLE, pieces
+
 _LINE_END = re.compile(rb"\r\n|\r|\n")
 # A parameter list without strings, comments or nested brackets.
 _PLAIN_PARAMETERS = re.compile(r"\s*(\([^()\[\]{}'\"#]*\))")
@@ -21,7 +23,6 @@ _ONE_LITERAL = re.compile(
     r"""|"(?!"")(?:[^"\\\n]|\\.)*"|'(?!'')(?:[^'\\\n]|\\.)*')""",
     re.DOTALL,
 )
-_UNREADABLE = (SyntaxError, ValueError, RecursionError, MemoryError)
 
 
 class _Source:
@@ -128,7 +129,11 @@ def _statements(node):
 
 
 def python_facts(text: str):
-    """Facts of one file: the module first, then statements in walk order."""
+    """Facts of one file: the module first, then statements in walk order.
+
+    Of a file with errors, all that can be read around them, and an ``Error`` fact for
+    the lines of each that cannot.
+    """
     yield {
         "kind": "Module", "name": None, "owner": None,
         "line_start": 1, "line_end": text.count("\n") + 1,
@@ -136,15 +141,31 @@ def python_facts(text: str):
     }
     # A byte order mark is text to the line and character counts above only.
     source = _Source(text.removeprefix(_BYTE_ORDER_MARK))
+    readable = source.raw.decode("utf-8", "replace")
     try:
-        tree = ast.parse(source.raw.decode("utf-8", "replace"))
-        found = list(_walk(source, tree, None))
-    except _UNREADABLE as error:
-        yield {"kind": "Error", "parse_error": type(error).__name__}
-        return
+        found = list(_walk(source, ast.parse(readable), None))
+    except UNREADABLE:
+        found = _recovered(readable)
     yield from found
 
 
+def _recovered(text: str):
+    for piece in pieces(text):
+        errors = piece.errors
+        if piece.tree is not None:
+            try:
+                found = list(_walk(_Source(piece.text), piece.tree, None))
+            except UNREADABLE as error:
+                found, lines = [], piece.text.count("\n") + 1
+                errors = [(piece.lines_before + 1, piece.lines_before + lines, type(error).__name__)]
+            for fact in found:
+                fact["line_start"] += piece.lines_before
+                fact["line_end"] += piece.lines_before
+                yield fact
+        for first, last, reason in errors:
+            yield {"kind": "Error", "line_start": first, "line_end": last, "parse_error": reason}
+
+
 def _walk(source: _Source, node, owner: str | None):
     for child in _statements(node):
         if isinstance(child, ast.ImportFrom) and child.module == "__future__":

@@ -40,8 +40,8 @@ INGEST_RUNS = _schema(
 )
 
 CHUNKS = _schema(
-    "id string, repository_id string, file_path string, entity_name string, "
-    "entity_type string, content string, line_start int, line_end int, "
+    "id string, entity_id string, part int, repository_id string, file_path string, "
+    "entity_name string, entity_type string, content string, line_start int, line_end int, "
     "embedding vector"
 )
 

@@ -22,6 +22,8 @@ RECOMMENDED = {
     # Lets the tree source list only the repositories a query asks for.
     "spark.sql.python.filterPushdown.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Tables in buckets of a slot are joined on (slot, id) where they lie.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
@@ -61,6 +63,12 @@ def materialise(df, purpose: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a work file that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def spread_scan(df):
     """Use all cores for costly per-row work on a scan of fewer pieces than cores.
 

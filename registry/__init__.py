@@ -6,7 +6,7 @@ Every module holds ``QUERIES``: name → (callable(spark, sf_dir), SQL or None).
 from importlib import import_module
 
 MODULES = (
-    "text", "files", "extracted", "graph", "search", "reports", "metrics", "state", "streams",
+    "text", "files", "extracted", "graph", "search", "reports", "metrics", "state", "stored", "streams",
 )
 
 

@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 
 from codequarry.operators import chunks as chunk_ops
 from codequarry.operators import extract, graph
-from codequarry.limits import WHOLE_TEXT
 from codequarry.plans import ingest, reports
 from codequarry.session import materialise, spread_scan
-from registry.common import sql_entity_id, sql_redact, table
+from registry.common import sql_entity_id, sql_hashed_vectors, sql_redact, table
 
 KEY = "repository_id"
 
@@ -45,7 +44,12 @@ async def main(key={"a": (%1$s, ")")}):
         return None
     return key
 '''
-_NAMES = ("key", "status", "customer", "priority", "cents", "day")
+# The same files with mistakes of five kinds in one method, before and behind what is found.
+_WRONG = ("x = = 1", "print 'old', rate", "rate = (rate,", "raise Error, rate", "return rate 1")
+_TOP = ("def (:", "x = [1, 2", "class 9:", "for in x", "else ::")
+_BROKEN = _FILE.replace("        return rate\n", "        %7$s\n        return rate\n").replace(
+    "\n\nasync def main", "\n%8$s\nasync def main")
+_NAMES = ("key", "status", "customer", "priority", "cents", "day", "wrong", "top")
 
 
 def order_files(spark, d):
@@ -84,28 +88,28 @@ def _sql_text(template: str) -> str:
     return "(" + " || ".join(pieces) + ")"
 
 
-_LINES = _FILE.split("\n")
-
-
-def _lines(first: int, last: int) -> str:
-    return "\n".join(_LINES[first - 1 : last])
-
-
 _MODULE = sql_entity_id("repo", "path", "'Module'", "path", "''")
 _CLASS = sql_entity_id("repo", "path", "'Class'", "'Order'", "module")
-# type, name, parent, first line, last line, signature, docstring, text, repeated
-_FOUND = [
-    ("Module", None, "''", 1, len(_LINES), None, None, _FILE, False),
-    ("Import", _lines(2, 2), "module", 2, 2, None, None, _lines(2, 2), False),
-    ("Import", _lines(3, 3), "module", 3, 3, None, None, _lines(3, 3), False),
-    ("Import", _lines(4, 4), "module", 4, 4, None, None, _lines(4, 4), True),
-    ("Class", "Order", "module", 7, 20, None, "Priority %4$s", _lines(7, 20), False),
-    ("Method", "total", "class", 11, 13, "total(self, rate=%5$s)", "Total of the order.",
-     _lines(11, 13).lstrip(), False),
-    ("Method", "day", "class", 16, 17, "day(self)", None, _lines(16, 17).lstrip(), False),
-    ("Method", "day", "class", 19, 20, "day(self, value)", None, _lines(19, 20).lstrip(), True),
-    ("Function", "main", "module", 23, 27, 'main(key={"a": (%1$s, ")")})', None, _lines(23, 27), False),
-]
+
+
+def _found(text: str) -> list[tuple]:
+    """type, name, parent, first line, last line, signature, docstring, text, repeated"""
+    rows = text.split("\n")
+    lines = lambda first, last: "\n".join(rows[first - 1 : last])
+    at = lambda start, n=0: [i for i, row in enumerate(rows, 1) if row.startswith(start)][n]
+    total, day, again, main = at("    def total"), at("    def day"), at("    def day", 1), at("async def main")
+    return [
+        ("Module", None, "''", 1, len(rows), None, None, text, False),
+        ("Import", lines(2, 2), "module", 2, 2, None, None, lines(2, 2), False),
+        ("Import", lines(3, 3), "module", 3, 3, None, None, lines(3, 3), False),
+        ("Import", lines(4, 4), "module", 4, 4, None, None, lines(4, 4), True),
+        ("Class", "Order", "module", 7, again + 1, None, "Priority %4$s", lines(7, again + 1), False),
+        ("Method", "total", "class", total, day - 3, "total(self, rate=%5$s)", "Total of the order.",
+         lines(total, day - 3).lstrip(), False),
+        ("Method", "day", "class", day, day + 1, "day(self)", None, lines(day, day + 1).lstrip(), False),
+        ("Method", "day", "class", again, again + 1, "day(self, value)", None, lines(again, again + 1).lstrip(), True),
+        ("Function", "main", "module", main, main + 4, 'main(key={"a": (%1$s, ")")})', None, lines(main, main + 4), False),
+    ]
 
 
 def _entity_sql(number: int, row: tuple) -> str:
@@ -131,8 +135,18 @@ raw AS (SELECT o_orderkey::VARCHAR AS key, o_orderstatus AS status, o_custkey::V
   'orders/order_' || o_orderkey || '.py' AS path, 'order_' || o_orderkey AS stem FROM orders),
 modules AS (SELECT *, {_MODULE} AS module FROM raw),
 ids AS (SELECT *, {_CLASS} AS class FROM modules),
-entities AS ({' UNION ALL '.join(_entity_sql(i, row) for i, row in enumerate(_FOUND))})
+entities AS ({' UNION ALL '.join(_entity_sql(i, row) for i, row in enumerate(_found(_FILE)))})
 """
+
+
+def _case(rows: tuple) -> str:
+    return "CASE o_orderkey % 5 " + " ".join(
+        "WHEN {} THEN '{}'".format(i, row.replace("'", "''")) for i, row in enumerate(rows)) + " END"
+
+
+_BROKEN_CTE = ENTITIES_CTE[: ENTITIES_CTE.index("entities AS (")].replace(
+    "o_orderstatus AS status,", f"o_orderstatus AS status, {_case(_WRONG)} AS wrong, {_case(_TOP)} AS top,"
+) + f"entities AS ({' UNION ALL '.join(_entity_sql(i, row) for i, row in enumerate(_found(_BROKEN)))})"
 RELATIONS_CTE = f"""
 relations AS (
   SELECT repository_id, parent_id AS source_id, id AS target_id,
@@ -178,12 +192,12 @@ def ingest_edges(spark, d):
 
 
 def ingest_chunks(spark, d):
-    rows = chunk_ops.chunk_rows(extract.entities(_facts(spark, d), WHOLE_TEXT))
+    rows = chunk_ops.chunk_rows(extract.entities(_facts(spark, d)))
     return rows.filter(~F.col("repeated")).drop("repeated")
 
 
 def ingest_totals(spark, d):
-    return ingest.ingest_totals(extract.entities(_facts(spark, d), WHOLE_TEXT))
+    return ingest.ingest_totals(extract.entities(_facts(spark, d)))
 
 
 def extracted_module_stats(spark, d):
@@ -213,34 +227,94 @@ def _prose_facts(spark, d):
 
 
 def prose_modules(spark, d):
-    """Documents read as files: a module each, and the error that stops the reader."""
+    """Documents read as files: a module each, with all of its text."""
     return extract.entities(_prose_facts(spark, d)).drop("bases", "signature", "docstring")
 
 
-def prose_modules_whole(spark, d):
-    """As ``prose_modules``, with all of each text."""
-    return extract.entities(_prose_facts(spark, d), WHOLE_TEXT).drop("bases", "signature", "docstring")
-
-
 def prose_chunks_whole(spark, d):
     """Chunks of the documents joined again: all of each text, under its title and path."""
-    chunks = chunk_ops.chunk_rows(extract.entities(_prose_facts(spark, d), WHOLE_TEXT))
-    number = F.coalesce(F.try_element_at(F.split("id", "#"), F.lit(2)).cast("int"), F.lit(1))
-    parts = F.sort_array(F.collect_list(F.struct(number.alias("n"), "content")))
+    chunks = chunk_ops.chunk_rows(extract.entities(_prose_facts(spark, d)))
+    parts = F.sort_array(F.collect_list(F.struct("part", "content")))
     return chunks.groupBy("repository_id", "file_path").agg(
         F.max(F.length("content")).alias("longest"), F.array_join(F.transform(parts, lambda p: p["content"]), "").alias("content")
     ).select("repository_id", "file_path", (F.col("longest") <= 6000).alias("fits"), "content")
 
 
+def prose_chunk_parts(spark, d):
+    """Every chunk of the documents with the node that it belongs to."""
+    entities = extract.entities(_prose_facts(spark, d))
+    chunks = chunk_ops.chunk_rows(entities).select("id", "entity_id", "part", KEY, F.sha2("content", 256).alias("sha256"))
+    owners = extract.nodes(entities).select(KEY, F.col("id").alias("entity_id"), F.col("name").alias("node"))
+    return chunks.join(owners, [KEY, "entity_id"], "left")
+
+
+# Pieces end behind the last white space that fits; what is left goes on.
+PARTS_SQL = f"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, source AS repository_id, left(sha256(source || ':docs/' || doc_id || '.py:Module:docs/' || doc_id || '.py:'), 16) AS id,
+    {sql_redact("concat_ws(chr(10), '# Module: ' || doc_id, 'File: docs/' || doc_id || '.py', nullif(text, ''))")} AS content
+  FROM documents
+), cut AS (
+  SELECT id, repository_id, doc_id, 0 AS part, '' AS piece, content AS rest FROM t
+  UNION ALL
+  SELECT id, repository_id, doc_id, part + 1, left(rest, n), substr(rest, n + 1) FROM (
+    SELECT *, CASE WHEN length(rest) <= 6000 THEN length(rest) WHEN kept = 0 THEN 6000 ELSE kept END AS n FROM (
+      SELECT *, length(regexp_replace(left(rest, 6000), '[^ \t\n\x0B\f\r]*$', '')) AS kept FROM cut WHERE rest <> ''))
+)
+SELECT CASE WHEN part = 1 THEN id ELSE id || '#' || part END AS id, id AS entity_id, part, repository_id,
+  sha256(piece) AS sha256, doc_id::VARCHAR AS node FROM cut WHERE part > 0
+"""
+
+
+
+
+def broken_files(spark, d):
+    """``order_files`` with a broken statement in a method and a broken line between the definitions."""
+    orders = spread_scan(table(spark, d, "orders"))
+    pick = lambda rows: F.element_at(F.array(*[F.lit(x) for x in rows]), (F.col("o_orderkey") % 5 + 1).cast("int"))
+    text = F.format_string(
+        _BROKEN, F.col("o_orderkey").cast("string"), F.col("o_orderstatus"), F.col("o_custkey").cast("string"),
+        F.col("o_orderpriority"), F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string"),
+        F.date_format("o_orderdate", "yyyy-MM-dd"), pick(_WRONG), pick(_TOP),
+    )
+    return orders.select(
+        F.substring(F.sha2("o_orderpriority", 256), 1, 12).alias(KEY),
+        F.concat(F.lit("orders/order_"), F.col("o_orderkey").cast("string"), F.lit(".py")).alias("rel_path"),
+        text.cast("binary").alias("content"), F.octet_length(text).cast("bigint").alias("length"),
+    )
+
+
+def broken_entities(spark, d):
+    """Entities of files with errors: all that intact ones have."""
+    return extract.entities(extract.facts(broken_files(spark, d))).drop("bases", "ordinal")
+
+
+def broken_relations(spark, d):
+    return extract.relations(extract.entities(extract.facts(broken_files(spark, d))))
+
+
+def broken_errors(spark, d):
+    """The lines left out, as spans, with the number of errors in each."""
+    return extract.error_spans(extract.parse_errors(extract.facts(broken_files(spark, d))))
+
+
 def hashed_vectors(spark, d):
-    """Document vectors: width, length and whether they are unit vectors."""
+    """Document vectors: width, length, buckets in use, and a sum that depends on which they are."""
     docs = spread_scan(table(spark, d, "documents").select("doc_id", "text"))
     made = chunk_ops.with_norm(chunk_ops.hashed_vectors(docs, "text"))
+    spots = F.transform("embedding", lambda x, i: x.cast("double") * (i + 1))
     return made.select(
-        "doc_id", F.size("embedding").alias("width"), F.round("norm", 3).alias("norm")
+        "doc_id", F.size("embedding").alias("width"), F.round("norm", 3).alias("norm"),
+        F.size(F.filter("embedding", lambda x: x > 0)).alias("buckets"),
+        F.round(F.aggregate(spots, F.lit(0.0), lambda a, x: a + x), 4).alias("moment"),
     )
 
 
+
+def _broken_line(mark: str) -> int:
+    return next(i for i, line in enumerate(_BROKEN.split("\n"), 1) if mark in line)
+
+
 _ENTITY_COLUMNS = (
     "id, repository_id, name, entity_type, file_path, line_start, line_end, signature, docstring, "
     "content, parent_id, ordinal, repeated"
@@ -262,8 +336,8 @@ QUERIES = {
     "ingest_chunks": (
         ingest_chunks,
         f"""WITH {ENTITIES_CTE}
-        SELECT id, repository_id, file_path, name AS entity_name, entity_type,
-          {sql_redact(f'left({_CHUNK}, 6000)')} AS content, line_start, line_end
+        SELECT id, id AS entity_id, 1 AS part, repository_id, file_path, name AS entity_name, entity_type,
+          {sql_redact(_CHUNK)} AS content, line_start, line_end
         FROM entities WHERE entity_type <> 'Import' AND NOT repeated""",
     ),
     "ingest_totals": (
@@ -314,11 +388,11 @@ QUERIES = {
           AS id, source AS repository_id, doc_id::VARCHAR AS name, 'Module' AS entity_type,
           'docs/' || doc_id || '.py' AS file_path, 1 AS line_start,
           (length(text) - length(replace(text, chr(10), '')) + 1)::INTEGER AS line_end,
-          {sql_redact('left(text, 8000)')} AS content, '' AS parent_id, 0 AS ordinal, FALSE AS repeated
+          {sql_redact('text')} AS content, '' AS parent_id, 0 AS ordinal, FALSE AS repeated
         FROM documents""",
     ),
     "prose_modules_whole": (
-        prose_modules_whole,
+        prose_modules,
         f"""SELECT left(sha256(source || ':docs/' || doc_id || '.py:Module:docs/' || doc_id || '.py:'), 16)
           AS id, source AS repository_id, doc_id::VARCHAR AS name, 'Module' AS entity_type,
           'docs/' || doc_id || '.py' AS file_path, 1 AS line_start,
@@ -332,8 +406,24 @@ QUERIES = {
           {sql_redact("concat_ws(chr(10), '# Module: ' || doc_id, 'File: docs/' || doc_id || '.py', nullif(text, ''))")}
           AS content FROM documents""",
     ),
+    "prose_chunk_parts": (prose_chunk_parts, PARTS_SQL),
+    "broken_entities": (
+        broken_entities, f"WITH {_BROKEN_CTE} SELECT {_ENTITY_COLUMNS.replace('ordinal, ', '')} FROM entities",
+    ),
+    "broken_relations": (
+        broken_relations, f"WITH {_BROKEN_CTE}, {RELATIONS_CTE} SELECT * FROM relations",
+    ),
+    "broken_errors": (
+        broken_errors,
+        f"""SELECT left(sha256(o_orderpriority), 12) AS repository_id, 'orders/order_' || o_orderkey || '.py' AS rel_path,
+          line AS line_start, line AS line_end, 1::BIGINT AS errors
+        FROM orders, (SELECT unnest([{_broken_line('%7$s')}, {_broken_line('%8$s')}]) AS line)""",
+    ),
     "hashed_vectors": (
         hashed_vectors,
-        "SELECT doc_id, 384 AS width, round(1.0::DOUBLE, 3) AS norm FROM documents",
+        f"""WITH {sql_hashed_vectors('v', "SELECT doc_id AS key, text FROM documents")}
+        SELECT doc_id, 384 AS width, round(coalesce(sqrt(sum(x * x)), 0), 3) AS norm, count(x)::INTEGER AS buckets,
+          round(coalesce(sum(x * (bucket + 1)), 0), 4) AS moment
+        FROM documents LEFT JOIN v ON key = doc_id GROUP BY doc_id""",
     ),
 }

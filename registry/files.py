@@ -115,15 +115,17 @@ def binary_files(spark, d):
         paths.is_binary("content").alias("as_is"),
         paths.is_binary(utf16).alias("utf16"),
         paths.is_binary(F.concat(few_nuls, "content")).alias("few_nuls"),
-        paths.is_binary("content", strict_header=False).alias("forgiving"),
+        paths.is_binary("content", V.BINARY_HEADER_BYTES).alias("by_header"),
+        paths.is_binary(F.concat(few_nuls, "content"), V.BINARY_HEADER_BYTES).alias("few_nuls_by_header"),
+        paths.is_binary("content", V.BINARY_HEADER_BYTES, strict_header=False).alias("forgiving"),
     )
 
 
 # A header is not UTF-8 only where it ends inside a character.
 _CUT = "coalesce(substr(hex(encode(text)), 2 * {at} + 1, 2) BETWEEN '80' AND 'BF', FALSE)"
 BINARY_SQL = f"""
-SELECT doc_id, {_CUT.format(at=8192)} AS as_is, TRUE AS utf16, {_CUT.format(at=8192 - 201)} AS few_nuls,
-  FALSE AS forgiving FROM documents
+SELECT doc_id, FALSE AS as_is, TRUE AS utf16, FALSE AS few_nuls, {_CUT.format(at=8192)} AS by_header,
+  {_CUT.format(at=8192 - 201)} AS few_nuls_by_header, FALSE AS forgiving FROM documents
 """
 
 

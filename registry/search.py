@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from codequarry.functions.vectors import cosine, norm
 from codequarry.operators import search
+from codequarry.operators.inverted import WordIndex
+from codequarry.operators.pivots import VectorIndex
 from codequarry.operators.relational import attach
 from codequarry.sources import vector_bytes
-from codequarry.session import spread_scan
+from codequarry.session import spread_scan, work_path
 from registry.common import table
 
 K = 8
@@ -70,6 +72,31 @@ def vector_topk_blocks(spark, d):
     ))
 
 
+def _index(spark, d, chunks, by):
+    return VectorIndex.build(chunks, work_path(spark, "vector-index"), by, pivots=64)
+
+
+def vector_topk_index(spark, d):
+    """The same hits from a stored index, cells visited in waves."""
+    return _shown(_index(spark, d, _chunks(spark, d), None).top_k(mean_vectors(spark, d), K, None))
+
+
+def vector_topk_index_by_repository(spark, d):
+    index = _index(spark, d, _chunks(spark, d), "repository_id")
+    return _shown(index.top_k(mean_vectors(spark, d), K))
+
+
+def vector_topk_index_two_widths(spark, d):
+    index = _index(spark, d, _two_widths(_chunks(spark, d), "repository_id"), None)
+    return _shown(index.top_k(_two_widths(mean_vectors(spark, d), "query_id"), K, None))
+
+
+def vector_index_cells(spark, d):
+    """What the index holds: all vectors, each in one cell of its repository."""
+    cells = _index(spark, d, _chunks(spark, d), "repository_id").cells()
+    return cells.groupBy(F.col("by").alias("repository_id")).agg(F.sum("rows").alias("chunks"))
+
+
 def _two_widths(df, number):
     """Vectors of odd numbers keep their first half only."""
     half = F.slice("embedding", F.lit(1), (F.size("embedding") / 2).cast("int"))
@@ -106,6 +133,21 @@ def keyword_topk(spark, d):
     return hits.withColumn("score", F.col("score").cast("bigint"))
 
 
+def keyword_topk_index(spark, d):
+    """The same from a stored index of words."""
+    docs = spread_scan(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"))
+    index = WordIndex.build(docs, work_path(spark, "word-index"), None, text="text")
+    items = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
+    return index.top_k(items, 5, None).withColumn("score", F.col("score").cast("bigint"))
+
+
+def word_counts(spark, d):
+    """Documents of each language that hold a word, as the index of words has them."""
+    docs = spread_scan(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("repository_id")))
+    index = WordIndex.build(docs, work_path(spark, "word-index"), text="text")
+    return index.words().select(F.col("by").alias("lang"), "word", "n")
+
+
 _WORDS = r"unnest(list_distinct(regexp_split_to_array(lower(text), '[^\p{L}\p{N}_]+')))"
 KEYWORD_SQL = f"""
 WITH d AS (SELECT doc_id AS id, {_WORDS} AS word FROM documents),
@@ -144,7 +186,19 @@ QUERIES = {
     "vector_topk_two_widths": (vector_topk_two_widths, WIDTHS_SQL),
     "vector_topk_two_widths_blocks": (vector_topk_two_widths_blocks, WIDTHS_SQL),
     "vector_topk_blocks": (vector_topk_blocks, _ranked("", "")),
+    "vector_topk_index": (vector_topk_index, _ranked("", "")),
+    "vector_topk_index_by_repository": (
+        vector_topk_index_by_repository, _ranked("WHERE label = query_id", "label AS repository_id,"),
+    ),
+    "vector_topk_index_two_widths": (vector_topk_index_two_widths, WIDTHS_SQL),
+    "vector_index_cells": (
+        vector_index_cells, "SELECT label AS repository_id, count(*) AS chunks FROM embeddings GROUP BY 1",
+    ),
     "keyword_topk": (keyword_topk, KEYWORD_SQL),
+    "keyword_topk_index": (keyword_topk_index, KEYWORD_SQL),
+    "word_counts": (
+        word_counts, f"SELECT lang, word, count(*) AS n FROM (SELECT lang, {_WORDS} AS word FROM documents) WHERE word <> '' GROUP BY 1, 2",
+    ),
     "label_scores": (
         label_scores,
         _SCORED + "SELECT id AS vec_id, label, round(score, 6) AS score FROM scored WHERE label = query_id",

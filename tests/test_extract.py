@@ -7,10 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from codequarry import schemas
+from codequarry.limits import SERVICE_LIMITS
 from codequarry.operators import chunks as chunk_ops
 from codequarry.operators import extract
 from codequarry.operators.visitor import python_facts
-from codequarry.limits import WHOLE_TEXT
 from codequarry.plans import ingest
 
 
@@ -170,7 +170,7 @@ def test_nodes_edges_chunks(made):
 def test_cut_then_redact(spark):
     long = "def f():\n    x = '" + "a" * 3970 + "'\n    password = 'abcdefghij'\n"
     files = spark.createDataFrame([("r", "a.py", len(long), bytearray(long.encode()))], schemas.FILES)
-    made = ingest.extract_files(files)
+    made = ingest.extract_files(files, limits=SERVICE_LIMITS)
     body = made.entities.filter("entity_type = 'Function'").collect()[0].content
     assert len(body) <= 4000 and body == long[:4000].rstrip("\n")[: len(body)]
     assert max(made.chunks.select(F.length("content")).collect())[0] <= 6000
@@ -226,7 +226,10 @@ def test_long_texts_are_whole_in_chunks(spark):
     text = text.replace("word300'", "password=" + "s" * 7000 + "'")
     files = spark.createDataFrame([("r", "a.py", len(text), bytearray(text.encode()))], schemas.FILES)
     made = ingest.extract_files(files)
-    rows = made.chunks.select("id", "entity_type", "content").collect()
+    rows = made.chunks.select("id", "entity_id", "part", "entity_type", "content").collect()
+    names = {r.id for r in made.nodes.collect()}
+    assert {r.entity_id for r in rows} == names and sum(r.part == 1 for r in rows) == len(names)
+    assert all(r.id == (r.entity_id if r.part == 1 else f"{r.entity_id}#{r.part}") for r in rows)
     assert len(rows) == len({r.id for r in rows}) == made.totals.collect()[0].distinct_chunks
     assert max(len(r.content) for r in rows) <= 6000 and not any("sss" in r.content for r in rows)
     for kind in ("Module", "Function"):
@@ -234,5 +237,69 @@ def test_long_texts_are_whole_in_chunks(spark):
         joined = "".join(r.content for r in mine)
         assert len(mine) > 4 and [r.id for r in mine[1:]] == [f"{mine[0].id}#{n}" for n in range(2, len(mine) + 1)]
         assert all(f"'word{i}'" in joined for i in range(1500) if i != 300) and "needle" in mine[-1].content
-    whole = extract.entities(extract.facts(files), WHOLE_TEXT).filter("entity_type = 'Function'").collect()[0]
+    whole = extract.entities(extract.facts(files)).filter("entity_type = 'Function'").collect()[0]
     assert "needle" in whole.content
+
+
+BROKEN = {
+    "statement": ("class A(B):\n    def f(self, x):\n        'doc'\n        x = = 1\n        return x\n\n    def g(self): return 2\n\n"
+                  "def h():\n    pass\n",
+                  [("Class", "A", 1, 7), ("Method", "f", 2, 5), ("Method", "g", 7, 7), ("Function", "h", 9, 10)], [(4, 4)]),
+    "old syntax": ("import os\ndef f(a, (b, c)):\n    print 'x'\n    try:\n        g()\n    except E, e:\n        raise E, 'x'\n"
+                   "    exec 'c' in d\n    return `a`\nclass C:\n    def m(self):\n        print >>x, 'y'\n        return 0777\n",
+                   [("Import", "import os", 1, 1), ("Function", "f", 2, 9), ("Class", "C", 10, 13), ("Method", "m", 11, 13)],
+                   [(2, 3), (6, 9), (13, 13)]),
+    "open bracket": ("def a():\n    x = (1,\n    return 2\n\nx = [1,\n\nimport z\n\ndef b():\n    return 1\n",
+                     [("Function", "a", 1, 3), ("Import", "import z", 7, 7), ("Function", "b", 9, 10)], [(2, 2), (5, 6)]),
+    "open string": ("x = \'\'\'never closed\n\ndef b():\n    pass\n", [("Function", "b", 3, 4)], [(1, 2)]),
+    "heading": ("def bad(:\n\ndef ok():\n    return 1\n\nclass K(:\n    def m(self):\n        pass\n",
+                [("Function", "ok", 3, 4), ("Class", "K", 6, 8), ("Method", "m", 7, 8)], [(1, 1), (6, 6)]),
+    "indentation": ("class K:\n    def m(self):\n        pass\n      x = 1\n    def o(self): pass\n",
+                    [("Class", "K", 1, 5), ("Method", "m", 2, 3), ("Method", "o", 5, 5)], [(4, 4)]),
+    "blocks": ("if x ==:\n    import b\nelse:\n    import c\n@dec(\ndef f(): pass\n",
+               [("Import", "import b", 2, 2), ("Import", "import c", 4, 4), ("Function", "f", 6, 6)], [(2 - 1, 1), (5, 5)]),
+    "string over lines": ("def (:\nx = \'\'\'\ndef no(): pass\n\'\'\'\ndef b(): pass\n", [("Function", "b", 5, 5)], [(1, 1)]),
+}
+
+
+@pytest.mark.parametrize("case", list(BROKEN))
+def test_files_with_errors(case):
+    text, found, errors = BROKEN[case]
+    facts = facts_of(text)
+    got = [(f["kind"], f["name"], f["line_start"], f["line_end"]) for f in facts if f["kind"] not in ("Module", "Error")]
+    assert [g for g in got if g[:2] in [f[:2] for f in found]] == found
+    assert sorted((f["line_start"], f["line_end"]) for f in facts if f["kind"] == "Error") == sorted(errors)
+    lines = text.split("\n")
+    for f in facts:
+        if f["kind"] in ("Class", "Function", "Method"):
+            assert f["content"] == "\n".join(lines[f["line_start"] - 1:f["line_end"]]).strip()
+
+
+def test_one_error_costs_no_entity():
+    """Real files, a statement of each broken: all entities stay, where they were."""
+    for path in sorted(glob.glob("/opt/py313/lib/python3.13/[a-m]*.py"))[:60]:
+        text = open(path, encoding="utf-8", errors="replace").read()
+        lines = text.split("\n")
+        at = [i for i, line in enumerate(lines) if line.lstrip().startswith("return ") and line.startswith("    ")
+              and not line.rstrip().endswith(("(", "[", "{", "\\", ","))]
+        if not at:
+            continue
+        i = at[len(text) % len(at)]
+        lines[i] = lines[i].replace("return ", "return = = ", 1)
+        place = lambda t: [(f["kind"], f["name"], f["owner"], f["line_start"], f["line_end"]) for f in facts_of(t)
+                           if f["kind"] not in ("Module", "Error")]
+        assert place("\n".join(lines)) == place(text), path
+
+
+def test_error_spans(spark):
+    rows = [("r", "a", 1, 2, "x"), ("r", "a", 3, 3, "x"), ("r", "a", 2, 2, "y"), ("r", "a", 5, 9, "x"), ("r", "a", 6, 7, "x"), ("r", "b", 1, 1, "x")]
+    spans = extract.error_spans(spark.createDataFrame(rows, "repository_id string, rel_path string, line_start int, line_end int, parse_error string"))
+    assert sorted(map(tuple, spans.collect())) == [("r", "a", 1, 3, 3), ("r", "a", 5, 9, 2), ("r", "b", 1, 1, 1)]
+
+
+def test_texts_without_code_cost_little():
+    import time
+
+    start = time.time()
+    facts = facts_of("(well, \"this isn't code\n    of any class\n" * 20_000)
+    assert time.time() - start < 30 and {f["kind"] for f in facts[1:]} == {"Error"}

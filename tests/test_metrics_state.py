@@ -1,11 +1,14 @@
+import os
 import random
 from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from codequarry import schemas
-from codequarry.operators import metrics, state
+from codequarry.operators import metrics, sketches, state
+from codequarry.streaming.admission import Admissions
 
 
 def sample_model(n):
@@ -151,3 +154,78 @@ def test_gate(spark):
     assert [r[0] for r in state.accepted(asked, repos).collect()] == ["a"]
     assert sorted(r[0] for r in state.rejected(asked, repos).collect()) == ["b", "x"]
     assert sorted(r[0] for r in state.accepted(asked, repos, False).collect()) == ["a", "b"]
+
+
+def test_admission_of_a_busy_client(spark):
+    """A client with most rows that never pauses: only what is over the limit is replayed, in many chains."""
+    rng = random.Random(11)
+    rows, t = [], 0
+    for i in range(3000):
+        t += rng.choice([5, 7, 9]) if i % 300 > 30 else 1  # a burst now and then
+        rows.append(("busy", t, i))
+    rows += [(f"c{i % 40}", 100 * i, 10_000 + i) for i in range(400)]
+    df = spark.createDataFrame(rows, "client string, s bigint, id bigint").select("client", "id", F.timestamp_seconds("s").alias("ts"))
+    span = 60_000_000
+    chained = metrics._with_chain(metrics._with_recent(metrics._moments(df, "client", "ts"), span), 10, span)
+    busy = chained.filter("client = 'busy'").groupBy("chain").count().collect()
+    assert sum(r["count"] for r in busy if r.chain is None) > 1500 and len(busy) > 8
+    assert chained.filter("client <> 'busy' AND chain IS NOT NULL").count() == 0
+    got = metrics.admission_flags(df, "id", limit=10, seconds=60)
+    assert {r.id: r.admitted for r in got.collect()} == admitted_model(
+        [(c, s * 1_000_000, i) for c, s, i in rows], 10, 60)
+
+
+@pytest.mark.parametrize("delay", [0, 600])
+def test_admission_by_triggers(spark, tmp_path, delay):
+    """Requests out of order over many triggers, one of them repeated: judged as in one go, or late."""
+    rng = random.Random(delay)
+    rows, t = [], 0
+    for i in range(600):
+        t += rng.choice([0, 1, 2, 20, 70])
+        rows.append((f"c{rng.randrange(3)}", t, i))
+    arrived = sorted(rows, key=lambda r: r[1] + rng.randrange(500))
+    tables = Admissions(spark, str(tmp_path / "a"), T.StringType(), delay, limit=3, seconds=60)
+    frame = lambda part: spark.createDataFrame([(c, s * 1_000_000) for c, s, _ in part], "client string, t bigint")
+    for number in range(4):
+        part = arrived[number * 150:(number + 1) * 150]
+        tables.trigger(frame(part), number)
+        if number == 2:
+            tables.trigger(frame(part), number)
+    assert tables.last() == 3
+    tables.finish(4)
+    judged, late = tables.admitted().collect(), tables.late().collect()
+    assert sum(r.requests for r in judged) + sum(r.n for r in late) == 600
+    assert (len(late) > 0) == (delay == 0)
+    gone = {(r.client, r.t) for r in late}
+    kept = [(c, s * 1_000_000, i) for c, s, i in rows if (c, s * 1_000_000) not in gone]
+    if delay:
+        want = {}
+        for i, ok in admitted_model(kept, 3, 60).items():
+            c, s, _ = rows[i]
+            want[c, s * 1_000_000] = want.get((c, s * 1_000_000), 0) + ok
+        assert {(r.client, r.t): r.admitted for r in judged} == want
+    state = [len(os.listdir(tmp_path / "a" / name)) for name in ("waiting", "kept")]
+    assert max(state) <= 2  # older state is deleted
+    assert tables._state("kept", 4).count() == 0
+
+
+def test_sketches_merge_and_late_samples_count(spark, tmp_path):
+    rng = random.Random(2)
+    rows = [(f"p{i % 2}", rng.gauss(100, 20), i * 7) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "path string, duration_ms double, s bigint").select("path", "duration_ms", F.timestamp_seconds("s").alias("ts"))
+    store = sketches.SketchStore(spark, str(tmp_path / "s"))
+    store.add(df.filter("duration_ms < 100"), 0)
+    store.add(df.filter("duration_ms >= 100"), 1)  # the same hours once more
+    store.add(df.filter("duration_ms >= 100"), 1)  # and again, repeated
+    small = store.compact(str(tmp_path / "t"))
+    assert small.rows().count() == store.windows().count() == sketches.sketched(df).count() < store.rows().count()
+    for rows_ in (store.rows(), small.rows()):
+        for r in sketches.quantiles(sketches.merged(rows_, ["path"])).collect():
+            values = sorted(v for p, v, _ in rows if p == r.path)
+            assert r.requests == len(values) and r.max_ms == values[-1] and abs(r.avg_ms - sum(values) / len(values)) < 1e-6
+            for q, share in ((r.p50, 0.5), (r.p95, 0.95), (r.p99, 0.99)):
+                rank = sum(v <= q for v in values) / len(values)
+                assert abs(rank - share) <= sketches.rank_error()
+    nothing = sketches.sketched(df.filter("false"))
+    assert nothing.count() == 0 and sketches.quantiles(sketches.merged(nothing, ["path"])).count() == 0
+

@@ -4,7 +4,9 @@ import numpy as np
 import pytest
 
 from codequarry.functions.vectors import cosine
-from codequarry.operators import search
+from codequarry.operators import inverted, search
+from codequarry.operators.inverted import WordIndex
+from codequarry.operators.pivots import VectorIndex
 from codequarry.sources import vector_bytes
 
 SCHEMA = "id string, repository_id string, embedding array<float>"
@@ -145,3 +147,95 @@ def test_scan_plan_has_no_pairs(spark, data):
     got = search.top_k(spark.createDataFrame(chunks, SCHEMA), spark.createDataFrame(queries, QSCHEMA), 3)
     text = got._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in text and "Join" not in text and "Cartesian" not in text
+
+
+def test_one_hit_for_each_entity(spark):
+    rnd = np.random.default_rng(4)
+    rows = [(f"c{i:03}", f"e{i % 7}" if i < 60 else f"e{i}", "r", [float(x) for x in rnd.standard_normal(4)]) for i in range(90)]
+    rows += [("c900", "e900", "r", None), ("c901", "e0", "r", [0.0, 0.0, 0.0, 0.0]), ("c902", "e901", "s", [1.0, 0.0, 0.0, 0.0])]
+    rows += [("c903", "e1", "r", rows[5][3])]  # ties with another entity's chunk
+    left = spark.createDataFrame(rows, "id string, entity_id string, repository_id string, embedding array<float>").repartition(5)
+    asked = [(q, "r", [float(x) for x in rnd.standard_normal(4)]) for q in range(5)]
+    right = spark.createDataFrame(asked, QSCHEMA)
+    best = {}
+    for q, _, exact in asked:
+        v = np.float32(exact).astype(float)
+        scored = []
+        for i, e, r, x in rows:
+            if r == "r":
+                x32 = np.float32(x).astype(float) if x else None
+                score = -1.0 if x is None else round(float(np.dot(v, x32) / (np.linalg.norm(v) * np.linalg.norm(x32) + 1e-9)), 9)
+                scored.append((-score, i, e))
+        seen, kept = set(), []
+        for s, i, e in sorted(scored):
+            if e not in seen:
+                seen.add(e)
+                kept.append((i, e))
+        best[q] = kept[:6]
+    for form in ({}, {"broadcast_queries": 0}):
+        got = search.top_k(left, right, 6, one_of="entity_id", **form).collect()
+        for q in best:
+            assert [(r.id, r.entity_id) for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])] == best[q]
+
+
+@pytest.mark.parametrize("keyed", [True, False])
+@pytest.mark.parametrize("pivots,block_rows", [(1, 8192), (12, 30), (64, 8192)])
+def test_index_gives_the_same_hits(spark, data, tmp_path, keyed, pivots, block_rows):
+    chunks, queries = data
+    chunks = chunks + [("f0", "r1", [1e-12] * 8), ("f1", "r1", [-1e-12] * 8), ("f2", "r0", [])]
+    queries = queries + [(6, "r1", None), (7, "r1", [-1.0] * 8), (8, "r2", [1.0] * 5), (9, "r1", [1e-9] * 8)]
+    by = "repository_id" if keyed else None
+    left = spark.createDataFrame(chunks, SCHEMA).repartition(5)
+    right = spark.createDataFrame(queries, QSCHEMA)
+    index = VectorIndex.build(left, str(tmp_path / "index"), by, pivots=pivots, block_rows=block_rows)
+    again = VectorIndex(spark, str(tmp_path / "index"))
+    assert sum(r.rows for r in again.cells().collect()) == len(chunks) == index.members().count()
+    for k in (1, 7):
+        got = again.top_k(right, k, by)
+        found = sorted((r.query_id, r.id, round(r.score, 6), r["rank"]) for r in got.collect())
+        plain = search.top_k(left, right, k, by)
+        assert found == sorted((r.query_id, r.id, round(r.score, 6), r["rank"]) for r in plain.collect())
+
+
+def test_index_skips_what_is_far(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(30, 16))
+    chunks = [(f"c{i:05d}", "r", (centres[i % 30] + 0.1 * rng.normal(size=16)).tolist()) for i in range(6000)]
+    queries = [(i, "r", (centres[i] + 0.1 * rng.normal(size=16)).tolist()) for i in range(10)]
+    left, right = spark.createDataFrame(chunks, SCHEMA), spark.createDataFrame(queries, QSCHEMA)
+    index = VectorIndex.build(left, str(tmp_path / "index"), pivots=100)
+    seen = index.visited(right, 5).collect()
+    assert len(seen) == 10 and {r.total for r in seen} == {6000}
+    assert all(5 <= r.scored <= 600 and r.skipped >= 0.9 for r in seen)
+    key = lambda r: (r.query_id, r["rank"])
+    assert [r.id for r in sorted(index.top_k(right, 5).collect(), key=key)] == [
+        r.id for r in sorted(search.top_k(left, right, 5).collect(), key=key)]
+
+
+@pytest.mark.parametrize("keyed,k,block_rows", [(True, 6, 7), (False, 6, 2048), (False, 1, 10), (True, 500, 2048)])
+def test_word_index_gives_the_same_hits(spark, tmp_path, keyed, k, block_rows):
+    rng = np.random.default_rng(10)
+    # Words of very different frequency; the first is in every text.
+    word = lambda n: " ".join(f"w{int(30 * x ** 3)}" for x in rng.random(n))
+    chunks = [(i, f"r{i % 2}", "The, THE the! " + word(8)) for i in range(300)] + [(900, "r0", None), (901, "r1", "")]
+    queries = [(1, "r0", "the " + word(6)), (2, "r1", word(9)), (3, "r1", "absent"), (4, "r0", "w1 W1 w1"), (5, "none", "the"),
+               (6, "r1", None), (7, "r0", "the w0 w1 w2 w3 w4 w29")]
+    left = spark.createDataFrame(chunks, "id int, repository_id string, content string").repartition(3)
+    right = spark.createDataFrame(queries, "query_id int, repository_id string, question string")
+    by = "repository_id" if keyed else None
+    WordIndex.build(left, str(tmp_path / "words"), by, block_rows=block_rows)
+    index = WordIndex(spark, str(tmp_path / "words"))
+    got = sorted((r.query_id, r.id, r.score, r["rank"]) for r in index.top_k(right, k, by).collect())
+    plain = search.keyword_top_k(left, right, k, by)
+    assert got == sorted((r.query_id, r.id, int(r.score), r["rank"]) for r in plain.collect()) and got
+
+
+def test_word_index_reads_asked_words_only(spark, tmp_path):
+    left = spark.createDataFrame([(i, f"w{i} w{i % 7} all") for i in range(500)], "id int, content string")
+    index = WordIndex.build(left, str(tmp_path / "words"), None)
+    asked = spark.createDataFrame([("w3",), ("w11",)], "word string").select("word", inverted._folder("word").alias("folder"))
+    part = index._of(index.postings(), asked)
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [folder" in plan and "PushedFilters: [In(word" in plan
+    assert {r.word for r in part.collect()} == {"w3", "w11"}
+    assert {len(r.ids) for r in index.postings().filter("word = 'all'").collect()} == {500}

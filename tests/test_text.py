@@ -170,10 +170,13 @@ def test_binary(spark):
         (b"", False), (b"a", False), (b"\0", True), (b"\0" + b"a" * 99, False), (b"\0" + b"a" * 98, True),
         (b"\xff", True), (header + "é".encode(), True), (header + b"a\xff", False), (b"\xef\xbb\xbfx = 1", False),
     ]
-    _, got = applied(spark, [c for c, _ in cases], paths.is_binary, "binary")
+    _, got = applied(spark, [c for c, _ in cases], lambda c: paths.is_binary(c, 8192), "binary")
     assert got == [want for _, want in cases]
-    _, got = applied(spark, [c for c, _ in cases], lambda c: paths.is_binary(c, False), "binary")
+    _, got = applied(spark, [c for c, _ in cases], lambda c: paths.is_binary(c, 8192, False), "binary")
     assert got == [want if i != 6 else False for i, (_, want) in enumerate(cases)]
+    # By default the whole file counts: a cut character is none, a bad byte anywhere is one.
+    _, got = applied(spark, [c for c, _ in cases], paths.is_binary, "binary")
+    assert got == [{6: False, 7: True}.get(i, want) for i, (_, want) in enumerate(cases)]
     lengths = [0, 1, 524288, 524289]
     _, sizes = applied(spark, lengths, lambda c: paths.skip_reason(F.lit("a.py"), c, None, SERVICE_LIMITS), "int")
     assert sizes == ["empty", None, None, "too large"]
