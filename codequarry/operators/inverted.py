@@ -23,7 +23,7 @@ from codequarry.operators.relational import top_n
 from codequarry.operators.search import words_of
 from codequarry.session import materialise
 
-FOLDERS = 256
+FOLDERS = 64
 BLOCK_ROWS = 2048
 # Words are sent to the readers as values up to this many, and joined alone beyond.
 PUSHED_WORDS = 1000
