@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,10 +43,13 @@ def release(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of plans that nothing refers to any more.
 
     It does so when the driver collects its garbage, which small drivers of long
-    runs may do too late for the disks of the executors.
+    runs may do too late for the disks of the executors. What the first collection
+    sets free may hold more, so there is a second one.
     """
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def partitions(spark: SparkSession) -> int:
