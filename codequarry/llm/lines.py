@@ -7,9 +7,12 @@ documents. Only lines found in the second filter are suspects. The suspects alon
 are shuffled, as text, for the exact count; false positives of the filters drop out
 there, and a filter never misses a repeat, so results do not depend on its size.
 
-The filters of all parts are sent to the tasks when together they stay below
-``broadcast_bytes``; beyond, suspects are found by a join on the hashes. Dropped
-keys likewise: sent when small, else joined, each text's outcome keyed by its digest.
+All hashes move once, packed, as no task could hold a filter for all lines. The second
+filters of all parts are sent to the tasks when together they stay below
+``broadcast_bytes``; beyond, hashes go to the filters: each part gets its hashes with
+the digests of their documents, tests them, and hands on the suspects, which meet their
+documents again by digest. Dropped keys likewise: sent when small, else joined, each
+text's outcome keyed by its digest.
 
 Defined cases: a null or empty text is one empty line; keys shorter than ``least``
 code points are never dropped; each row counts as a document of its own, whatever
@@ -132,9 +135,77 @@ def _suspect_test(filters: dict[int, _Bloom], parts: int):
     return test
 
 
+_ASKED = pa.schema([("part", pa.int32()), ("turn", pa.int32()), ("payload", pa.binary())])
+
+
+def _ask(parts: int, least: int):
+    """Hashes of the keys of each text, with the text's digest, by part."""
+    def run(batches):
+        for batch in A.buffered(batches, 4 << 20):
+            digests = [np.asarray(batch.column(c).to_numpy(zero_copy_only=False), np.int64) for c in (1, 2)]
+            found, owner = [], []
+            for i, text in enumerate(batch.column(0).to_pylist()):
+                mine = {A.hash_of(k) for k in set(line_keys(text)) if _long_enough(k, least)}
+                found.extend(mine)
+                owner.extend([i] * len(mine))
+            found, owner = np.array(found, np.uint64), np.array(owner, np.int64)
+            part = (A.mix64(found) % np.uint64(parts)).astype(np.int32)
+            order = np.argsort(part, kind="stable")
+            part, found, owner = part[order], found[order], owner[order]
+            names, at = np.unique(part, return_index=True)
+            for name, piece in zip(names, np.split(np.arange(len(part)), at[1:])):
+                yield A.rows(_ASKED, part=[name], turn=[1], payload=[A.pack(found[piece], *[d[owner[piece]] for d in digests])])
+    return run
+
+
+_ANSWERED = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("hash", pa.int64())])
+
+
+def _answer(batches):
+    """Each part's filter comes first; what of its hashes is in it goes on."""
+    for _, held in A.streamed(batches, "part"):
+        bloom = None
+        for batch in held:
+            for turn, payload in zip(batch.column("turn").to_pylist(), batch.column("payload").to_pylist()):
+                if turn == 0:
+                    bloom = _Bloom(len(payload) * 8, np.frombuffer(payload, np.uint8))
+                elif bloom is not None:
+                    found, d1, d2 = A.unpack(payload)
+                    mine = np.flatnonzero(bloom.has(found))
+                    if len(mine):
+                        yield A.rows(_ANSWERED, d1=d1[mine], d2=d2[mine], hash=found[mine].view(np.int64))
+
+
 _KEYS = pa.schema([("key", pa.binary())])
 
 
+def _named(least: int):
+    """Keys of each text that are among its suspects, once for each document with the text."""
+    def run(batches):
+        for batch in A.sliced(batches):
+            out = []
+            for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                wanted = set(np.array(wanted, np.int64).view(np.uint64).tolist())
+                out += [k for k in set(line_keys(text)) if _long_enough(k, least) and A.hash_of(k) in wanted]
+            if out:
+                yield A.rows(_KEYS, key=out)
+    return run
+
+
+def _asked(texts: DataFrame, filters: DataFrame, parts: int, least: int) -> DataFrame:
+    """(key) of suspects, found where the filters lie."""
+    digests = [F.xxhash64(F.lit(seed), F.coalesce("text", F.lit(""))).alias(name) for seed, name in ((1, "d1"), (2, "d2"))]
+    coded = texts.select("text", *digests)
+    payloads = coded.mapInArrow(_ask(parts, least), "part int, turn int, payload binary")
+    held = filters.select("part", F.lit(0).alias("turn"), F.col("filter").alias("payload"))
+    met = held.unionByName(payloads).repartitionById(min(parts, 10_000), F.col("part")).sortWithinPartitions("part", "turn")
+    found = met.mapInArrow(_answer, "d1 long, d2 long, hash long")
+    wanted = found.groupBy("d1", "d2").agg(F.collect_set("hash").alias("hashes"))
+    return coded.join(wanted, ["d1", "d2"]).select("text", "hashes").mapInArrow(_named(least), "key binary")
+
+
+
+
 def _suspects(shared, parts: int, least: int):
     def run(batches):
         test = _suspect_test({k: _Bloom(len(v) * 8, np.frombuffer(v, np.uint8)) for k, v in shared.value.items()}, parts)
@@ -164,18 +235,14 @@ def repeated_keys(
     packed = texts.mapInArrow(_spread(parts, least), "part int, payload binary")
     # Filters are sized by what comes: a part never drops a hash.
     filters = work.write(
-        packed.repartition(min(parts, 10_000), "part").sortWithinPartitions("part")
+        packed.repartitionById(min(parts, 10_000), F.col("part")).sortWithinPartitions("part")
         .mapInArrow(_filters, "part int, n long, filter binary"), "line-filters")
     size = filters.agg(F.sum(F.length("filter"))).first()[0] or 0
     if size <= broadcast_bytes:
         held = {r["part"]: bytes(r["filter"]) for r in filters.collect()}
         keys = texts.mapInArrow(_suspects(spark.sparkContext.broadcast(held), parts, least), "key binary")
     else:
-        # Numbers only meet here; a key's hash and count are all that is moved.
-        every = texts.select(F.explode(F.array_distinct(_keys_column(F.col("text")))).alias("key"))
-        every = every.filter(F.char_length("key") >= least).withColumn("h", F.xxhash64("key"))
-        twice = every.groupBy("h").count().filter("count >= 2").select("h")
-        keys = every.join(twice, "h", "left_semi").select(F.col("key").cast("binary").alias("key"))
+        keys = _asked(texts, filters, parts, least)
     counted = keys.groupBy("key").agg(F.count("*").alias("n_documents")).filter(F.col("n_documents") >= min_documents)
     out = work.write(counted, "line-keys")
     work.drop("line-filters")
