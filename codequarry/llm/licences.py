@@ -3,9 +3,13 @@
 A text is brought to words (A-Z lower-cased, words of ASCII letters and digits and
 of all other characters) joined by single spaces. A notice with at most k edits,
 cut into k+1 pieces, holds at least one piece unchanged, so exact places of the
-pieces, all found in one pass of an automaton, give every candidate. Around them the
-regex library's bounded-error matching verifies the notice and counts its edits.
-Exact phrases are found besides, word by word.
+pieces, all found in one pass of an automaton, give every candidate. Around each, in a
+window of the notice's length and k characters on either side, the regex library's
+bounded-error matching verifies the notice and counts its edits; so a text costs as much
+as it has places of pieces, however long it is. The words that tell a notice from others
+must stand in the place found: short ones as they are, those of five letters and more
+with one edit at most. Where places overlap, the one with the fewest edits for its length
+stays. Exact phrases are found besides, word by word.
 
 Defined cases: null and empty texts have no words, no labels and score 0; texts of
 any length are searched whole; each row stands alone, so repeated rows have equal
@@ -15,6 +19,7 @@ results go into one struct column.
 
 from __future__ import annotations
 
+import bisect
 from typing import NamedTuple
 
 import ahocorasick
@@ -31,8 +36,11 @@ PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserv
 
 
 class Notice(NamedTuple):
+    """A sentence, its label, and the words of it that must be there."""
+
     words: str
     label: str
+    must: tuple[str, ...] = ()
 
     @property
     def edits(self) -> int:
@@ -47,17 +55,35 @@ class Notice(NamedTuple):
 
 
 NOTICES = (
-    Notice("licensed under the apache license version 2 0", "apache-2.0"),
-    Notice("licensed under cc by nc", "cc-by-nc"),
-    Notice("creative commons attribution", "cc-by"),
-    Notice("permission is hereby granted free of charge to any person", "mit"),
-    Notice("released under the mit license", "mit"),
-    Notice("gnu general public license", "gpl"),
-    Notice("gnu lesser general public license", "lgpl"),
-    Notice("redistribution and use in source and binary forms", "bsd"),
-    Notice("mozilla public license", "mpl"),
-    Notice("dedicated to the public domain", "public-domain"),
-    Notice("all rights reserved", "reserved"),
+    Notice("licensed under the apache license version 2 0", "apache-2.0", ("apache",)),
+    Notice("released under the apache license", "apache", ("apache",)),
+    Notice("boost software license", "boost", ("boost",)),
+    Notice("redistribution and use in source and binary forms", "bsd", ("binary",)),
+    Notice("released under the bsd license", "bsd", ("bsd",)),
+    Notice("licensed under the bsd license", "bsd", ("bsd",)),
+    Notice("creative commons attribution", "cc-by", ("creative",)),
+    Notice("licensed under cc by nc", "cc-by-nc", ("cc", "nc")),
+    Notice("creative commons attribution noncommercial", "cc-by-nc", ("noncommercial",)),
+    Notice("licensed under cc by nd", "cc-by-nd", ("cc", "nd")),
+    Notice("creative commons attribution noderivatives", "cc-by-nd", ("noderivatives",)),
+    Notice("licensed under cc by sa", "cc-by-sa", ("cc", "sa")),
+    Notice("creative commons attribution sharealike", "cc-by-sa", ("sharealike",)),
+    Notice("creative commons zero", "cc0", ("zero",)),
+    Notice("common development and distribution license", "cddl", ("development",)),
+    Notice("eclipse public license", "epl", ("eclipse",)),
+    Notice("gnu affero general public license", "agpl", ("affero",)),
+    Notice("gnu free documentation license", "gfdl", ("documentation",)),
+    Notice("gnu general public license", "gpl", ("gnu", "general")),
+    Notice("gnu lesser general public license", "lgpl", ("lesser",)),
+    Notice("permission to use copy modify and or distribute this software", "isc", ("modify",)),
+    Notice("permission is hereby granted free of charge to any person", "mit", ("charge",)),
+    Notice("released under the mit license", "mit", ("mit",)),
+    Notice("licensed under the mit license", "mit", ("mit",)),
+    Notice("mozilla public license", "mpl", ("mozilla",)),
+    Notice("python software foundation license", "psf", ("python",)),
+    Notice("dedicated to the public domain", "public-domain", ("domain",)),
+    Notice("all rights reserved", "reserved", ("rights",)),
+    Notice("free and unencumbered software released into the public domain", "unlicense", ("unencumbered",)),
 )
 
 _TO_WORDS = bytes(
@@ -100,36 +126,58 @@ class Searcher:
             self.pieces.make_automaton()
         self.verify = [
             regex.compile(f"(?b)(?:{regex.escape(n.words, literal_spaces=True)}){{e<={n.edits}}}") for n in notices]
+        self.must = [[
+            (word, regex.compile(f"(?:{regex.escape(word)}){{e<=1}}") if len(word) >= 5 else None) for word in n.must]
+            for n in notices]
+
+        # With one edit at most, one half of a word is unchanged.
+        self.parts = [[
+            (word,) if close is None else (word[:len(word) // 2], word[len(word) // 2:]) for word, close in pairs]
+            for pairs in self.must]
 
     def windows(self, joined: str):
-        """(notice, start, end): merged surroundings of the pieces found."""
-        spans: dict[int, list[list[int]]] = {}
+        """(notice, start, end): the surroundings of each piece found, once."""
+        seen: set[tuple[int, int]] = set()
         if not self.notices:
             return
         for last, (size, where) in self.pieces.iter(joined):
             for i, offset in where:
                 notice = self.notices[i]
                 start = last - size + 1 - offset
-                low = max(0, start - notice.edits)
-                high = min(len(joined), start + len(notice.words) + notice.edits)
-                mine = spans.setdefault(i, [])
-                if mine and low <= mine[-1][1]:
-                    mine[-1][0] = min(mine[-1][0], low)
-                    mine[-1][1] = max(mine[-1][1], high)
-                else:
-                    mine.append([low, high])
-        for i, mine in spans.items():
-            for low, high in mine:
-                yield i, low, high
+                if (i, start) not in seen:
+                    seen.add((i, start))
+                    yield i, max(0, start - notice.edits), min(len(joined), start + len(notice.words) + notice.edits)
+
+    def _has(self, i: int, words: list[str]) -> bool:
+        """Whether the words that must be there are among ``words``."""
+        return all(
+            word in words or (close is not None and any(abs(len(w) - len(word)) < 2 and close.fullmatch(w) for w in words))
+            for word, close in self.must[i])
 
     def find(self, joined: str) -> list[tuple[int, int, int, int]]:
-        """(notice, start, end, edits): verified places, characters of the joined words."""
-        out = []
+        """(notice, start, end, edits): verified places, characters of the joined words, from left to right."""
+        found = set()
         for i, low, high in self.windows(joined):
-            at = low
-            while m := self.verify[i].search(joined, at, high):
-                out.append((i, m.start(), m.end(), sum(m.fuzzy_counts)))
-                at = max(m.end(), at + 1)
+            around = joined[max(0, low - 1):high + 1]
+            if not all(any(part in around for part in parts) for parts in self.parts[i]):
+                continue
+            m = self.verify[i].search(joined, low, high)
+            if m is None:
+                continue
+            start, end = m.span()
+            # Words as they are in the text, also where the place cuts one.
+            first, behind = joined.rfind(" ", 0, start + 1) + 1, joined.find(" ", max(start, end - 1))
+            if self._has(i, joined[first:behind if behind >= 0 else len(joined)].split(" ")):
+                found.add((i, start, end, sum(m.fuzzy_counts)))
+        # The best first; what overlaps a better one goes.
+        ranked = sorted(found, key=lambda f: (f[3] / len(self.notices[f[0]].words), -len(self.notices[f[0]].words), f[1], f[0]))
+        out: list[tuple[int, int, int, int]] = []
+        starts: list[int] = []
+        for i, start, end, edits in ranked:
+            at = bisect.bisect(starts, start)
+            if (at == 0 or out[at - 1][2] <= start) and (at == len(out) or end <= out[at][1]):
+                out.insert(at, (i, start, end, edits))
+                starts.insert(at, start)
         return out
 
 
@@ -158,14 +206,16 @@ def scan_text(text: str | None, searcher: Searcher, phrases: dict[str, str]) ->
         if at := phrase_places(joined, phrase):
             places += at
             base.add(label)
-    labels, score, spans = set(base), 1.0 if base else 0.0, []
+    labels, score, spans, word, seen = set(base), 1.0 if base else 0.0, [], 0, 0
     for i, start, end, edits in searcher.find(joined):
         notice = searcher.notices[i]
         labels.add(notice.label)
         score = max(score, 1.0 - edits / len(notice.words))
-        spans.append({
-            "label": notice.label, "first_word": joined.count(" ", 0, start + (joined[start:start + 1] == " ")),
-            "last_word": joined.count(" ", 0, end - (joined[end - 1:end] == " ")), "edits": edits})
+        begin = start + (joined[start:start + 1] == " ")
+        word += joined.count(" ", seen, begin)
+        seen = begin
+        last = word + joined.count(" ", begin, end - (joined[end - 1:end] == " "))
+        spans.append({"label": notice.label, "first_word": word, "last_word": last, "edits": edits})
     return {
         "n_words": n, "n_base": len(places), "first_word": min(places, default=None),
         "last_word": max(places, default=None), "base_labels": sorted(base), "labels": sorted(labels), "score": score,
