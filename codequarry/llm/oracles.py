@@ -116,9 +116,7 @@ def _sql_secrets() -> str:
         (S.KINDS[0], S.ASSIGN, 2, f"length(v) >= {S.MIN_VALUE}"),
         (S.KINDS[1], S.ACCESS, 0, f"length(m) >= {S.MIN_ACCESS}"),
         (S.KINDS[2], S.HEX, 0, f"length(m) >= {S.MIN_HEX}"),
-    ] + [(c.kind, c.pattern, 0, " AND ".join(
-        [f"regexp_matches(m, {quoted(c.must)})"] + [f"NOT regexp_matches(m, {quoted(a)})" for a in S.ALLOW]))
-        for c in S.CLASSES]
+    ] + [(c.kind, c.pattern, 0, f"regexp_matches(m, {quoted(c.must)})") for c in S.CLASSES]
     for rank, (kind, pattern, group, keep) in enumerate(kinds):
         p = quoted(pattern)
         places.append(f"""
@@ -132,6 +130,7 @@ def _sql_secrets() -> str:
     weights = ", ".join(str(S.weight(n)) for n in range(max(c.window for c in S.CLASSES) + 1))
     sized = " ".join(f"WHEN '{c.kind}' THEN {c.window}" for c in S.CLASSES)
     bounds = " ".join(f"WHEN '{c.kind}' THEN {S.bound(c)}" for c in S.CLASSES)
+    allowed = " AND ".join(f"NOT regexp_matches(v, {quoted(a)})" for a in S.ALLOW)
     joined = "coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e)"
     return f"""
 WITH d AS (
@@ -144,14 +143,16 @@ WITH d AS (
   SELECT rid, rank, kind, s, m, n, bound, i, substr(m, i + j + 1, 1) AS c
   FROM (SELECT *, unnest(range(0, n)) AS j FROM w)
 ), cc AS (
-  SELECT rid, rank, kind, s, n, bound, i, c, count(*) AS k FROM ch GROUP BY ALL
+  SELECT rid, rank, kind, s, m, n, bound, i, c, count(*) AS k FROM ch GROUP BY ALL
 ), high AS (
-  SELECT rid, rank, kind, s, n, i FROM cc GROUP BY rid, rank, kind, s, n, bound, i
+  SELECT rid, rank, kind, s, m, n, i FROM cc GROUP BY rid, rank, kind, s, m, n, bound, i
   HAVING sum(([{weights}]::BIGINT[])[k + 1]) <= bound
 ), f AS (
   SELECT rid, rank, kind, s, e FROM p WHERE rank < {len(S.KINDS)}
   UNION ALL
-  SELECT rid, rank, kind, (s + min(i))::BIGINT, (s + max(i) + n)::BIGINT FROM high GROUP BY rid, rank, kind, s, n
+  SELECT rid, rank, kind, a, e FROM (
+    SELECT rid, rank, kind, (s + min(i))::BIGINT AS a, (s + max(i) + n)::BIGINT AS e, substr(m, (min(i) + 1)::INT, (max(i) - min(i) + n)::INT) AS v
+    FROM high GROUP BY rid, rank, kind, s, m, n) WHERE {allowed}
 )
 SELECT doc_id, count(*) FILTER (WHERE rank = 0)::BIGINT AS n_assign, count(*) FILTER (WHERE rank = 1)::BIGINT AS n_access,
        count(*) FILTER (WHERE rank = 2)::BIGINT AS n_hex,

@@ -8,8 +8,10 @@ it; the count of each character is kept in an array and changed by the character
 that enters and the one that leaves, and with it the sum of c·log2(c). Those sums
 are whole numbers (millionths of a bit), so no rounding builds up. A window is
 suspicious when its Shannon entropy reaches the class's bound; the span reported
-goes from the first suspicious window to the last one. Candidates that the
-allow-list knows are suppressed; spans of the named patterns never are.
+goes from the first suspicious window to the last one. Spans that the allow-list knows are
+suppressed, as are candidates without what their class must hold (``Class.must``, a
+digit: words and paths are long runs as well; of random strings of 24 letters and
+digits about two in a hundred have none); spans of the named patterns never are.
 
 Defined cases: null and empty texts have no spans; texts of any length are scanned
 whole; rows are judged one by one, so repeated rows have equal results; an empty
@@ -76,8 +78,17 @@ def _places(text: Column, pattern: str, group: int = 0) -> Column:
     zipped = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("whole"), value.alias("value"))
     # One more gap than matches: the text after the last.
     zipped = F.filter(zipped, lambda z: z["whole"].isNotNull())
+    return F.get(F.transform(F.array(zipped), _positions), F.lit(0))
+
+
+def _positions(zipped: Column) -> Column:
+    """Matches with their places, which are running sums of lengths.
+
+    An array that grows match by match is copied each time; so matches are taken in
+    as many pieces as a piece has matches, and whole pieces are moved to their place.
+    """
     kind = "array<struct<start:int,end:int,whole:string,value:string>>"
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+    size = F.greatest(F.ceil(F.sqrt(F.size(zipped))).cast("int"), F.lit(1))
 
     def step(acc, z):
         start = acc["at"] + F.char_length(z["gap"])
@@ -85,7 +96,18 @@ def _places(text: Column, pattern: str, group: int = 0) -> Column:
         one = F.struct(start.alias("start"), end.alias("end"), z["whole"].alias("whole"), z["value"].alias("value"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    return F.aggregate(zipped, first, step, lambda acc: acc["out"])
+    def within(number):
+        first = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+        return F.aggregate(F.slice(zipped, number * size + 1, size), first, step)
+
+    def moved(pieces):
+        starts = F.aggregate(pieces, F.array(F.lit(0)), lambda acc, p: F.concat(acc, F.array(F.element_at(acc, -1) + p["at"])))
+        return F.get(F.transform(F.array(starts), lambda s: F.flatten(F.transform(pieces, lambda p, i: F.transform(p["out"], lambda x: F.struct(
+            (x["start"] + F.get(s, i)).alias("start"), (x["end"] + F.get(s, i)).alias("end"), x["whole"], x["value"]))))), F.lit(0))
+
+    count = F.ceil(F.size(zipped) / size).cast("int")
+    numbers = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    return F.get(F.transform(F.array(F.transform(numbers, within)), moved), F.lit(0))
 
 
 def _spans(places: Column, kind: str, rank: int) -> Column:
@@ -148,15 +170,18 @@ def _window_span(value: Column, c: Class) -> Column:
 
 
 def _entropy(text: Column, c: Class, rank: int, allow) -> Column:
+    candidates = F.filter(_places(text, c.pattern), lambda p: p["whole"].rlike(c.must))
+    judged = F.transform(candidates, lambda p: F.struct(
+        p["start"].alias("start"), p["whole"].alias("whole"), _window_span(p["whole"], c).alias("w")))
+
     def wanted(p):
-        ok = p["whole"].rlike(c.must)
+        span = F.substring(p["whole"], p["w"]["first"] + 1, p["w"]["last"] - p["w"]["first"] + c.window)
+        ok = p["w"]["first"] >= 0
         for pattern in allow:
-            ok = ok & ~p["whole"].rlike(pattern)
+            ok = ok & ~span.rlike(pattern)
         return ok
 
-    candidates = F.filter(_places(text, c.pattern), wanted)
-    judged = F.transform(candidates, lambda p: F.struct(p["start"].alias("start"), _window_span(p["whole"], c).alias("w")))
-    found = F.transform(F.filter(judged, lambda p: p["w"]["first"] >= 0), lambda p: F.struct(
+    found = F.transform(F.filter(judged, wanted), lambda p: F.struct(
         (p["start"] + p["w"]["first"]).alias("start"), F.lit(rank).alias("rank"),
         (p["start"] + p["w"]["last"] + c.window).alias("end"), F.lit(c.kind).alias("kind")))
     return F.when(text.rlike(c.pattern), found).otherwise(_none())
