@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from codequarry import schemas
 from codequarry.operators import state
+from codequarry.session import work_path
+from codequarry.sources.ranked import RankedTable
 from registry.common import table
 
 NOW = "2000-06-30 00:00:00"
@@ -100,6 +102,23 @@ def repository_page(spark, d):
     return rows.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
 
 
+def _ranked(spark, d):
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    return RankedTable.build(orders, work_path(spark, "ranked"), ["-o_orderdate", "o_orderkey"], range_rows=500)
+
+
+def ranked_page(spark, d):
+    """The fifty rows behind the first two thirds of all orders, newest first."""
+    ranked = _ranked(spark, d)
+    rows = ranked.page(50, ranked.total() * 2 // 3)
+    return rows.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+
+
+_RANKED_SQL = """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_totalprice, rank FROM (
+  SELECT *, (row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey))::INTEGER AS rank, count(*) OVER () AS n FROM orders)
+WHERE rank > n * 2 // 3 AND rank <= n * 2 // 3 + 50"""
+
+
 def _gate(spark, d):
     asked = table(spark, d, "documents").select(
         F.col("doc_id").cast("string").alias("repository_id"), "source", "lang"
@@ -142,6 +161,7 @@ QUERIES = {
         (SELECT count(*) FROM orders) AS total, 150 < (SELECT count(*) FROM orders) AS has_more FROM orders
         ORDER BY orders.o_orderdate DESC, o_orderkey LIMIT 50 OFFSET 100""",
     ),
+    "ranked_page": (ranked_page, _RANKED_SQL),
     "gate_accepted": (
         gate_accepted,
         """SELECT doc_id::VARCHAR AS repository_id, source, lang FROM documents

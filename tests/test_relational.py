@@ -1,4 +1,5 @@
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -80,3 +81,26 @@ def test_plans(spark):
     # Two inputs, each read once; broadcast or not is for the run to decide.
     semi = plan(R.matching(left, keys(spark), ["k"]))
     assert semi.count("Scan ExistingRDD") == 2 and "CartesianProduct" not in semi
+
+
+def test_ranked_pages(spark, tmp_path):
+    """Any page equals the sorted table's, and opens its own ranges only."""
+    from codequarry.sources.ranked import RankedTable
+
+    rows = [(i, (i * 37) % 50 if i % 11 else None, f"n{i % 5}") for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, x int, name string").repartition(5)
+    RankedTable.build(df, str(tmp_path / "r"), ["-x", "id"], range_rows=40)
+    ranked = RankedTable(spark, str(tmp_path / "r"), ["-x", "id"])
+    want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    assert ranked.total() == 400 and ranked.ranges().count() > 5
+    for limit, offset in ((10, 0), (25, 200), (60, 333), (10, 395), (10, 400), (400, 0)):
+        got = sorted(ranked.page(limit, offset).collect(), key=lambda r: r["rank"])
+        assert [tuple(r)[:3] for r in got] == want[offset:offset + limit]
+        assert [r["rank"] for r in got] == list(range(offset + 1, offset + 1 + len(got)))
+    page = ranked.page(10, 230)
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"_range#\d+ (= \d+|IN)", plan)
+    held = ranked.ranges().filter("before < 240 AND before + n > 230").count()
+    assert 0 < held <= 2 < ranked.ranges().count()
+    empty = RankedTable.build(df.filter("false"), str(tmp_path / "none"), ["id"])
+    assert empty.total() == 0
