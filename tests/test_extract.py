@@ -303,3 +303,48 @@ def test_texts_without_code_cost_little():
     start = time.time()
     facts = facts_of("(well, \"this isn't code\n    of any class\n" * 20_000)
     assert time.time() - start < 30 and {f["kind"] for f in facts[1:]} == {"Error"}
+
+
+def test_a_broken_statement_is_not_refused_twice(monkeypatch):
+    from types import SimpleNamespace
+
+    from codequarry.operators import recovery
+
+    tried = []
+    monkeypatch.setattr(recovery, "ast", SimpleNamespace(parse=lambda text: tried.append(text) or ast.parse(text), Module=ast.Module))
+    facts = facts_of("import a\n\n\nclass A:\n    x = = 1\n\n    def f(self):\n        return 1\n\n\nx = [1, 2\n")
+    assert [f["kind"] for f in facts if f["kind"] != "Error"] == ["Module", "Import", "Class", "Method"]
+    # Each text is given to the parser once, also one that it refuses.
+    assert len(tried) == len(set(tried))
+
+
+def test_plain_headings_need_no_tokenizer(monkeypatch):
+    def no_tokens(*_):
+        raise AssertionError
+
+    source = "async def main(key={'a': (1, \")\")}, *, b=rb'(', c=\"\"\")\"\"\"):  # ((\n    return key\n"
+    want = [f.get("signature") for f in facts_of(source)]
+    monkeypatch.setattr("codequarry.operators.visitor.tokenize.generate_tokens", no_tokens)
+    assert [f.get("signature") for f in facts_of(source)] == want
+    assert want[1] == "main(key={'a': (1, \")\")}, *, b=rb'(', c=\"\"\")\"\"\")"
+
+
+def test_texts_of_a_batch_are_read_one_at_a_time():
+    import pyarrow as pa
+
+    from codequarry import schemas
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    read = []
+
+    def visitor(text):
+        read.append(text)
+        return [{"kind": "Module", "content": text}]
+
+    texts = ["x" * 1000] * 5000
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["r"] * 5000), pa.array(["p"] * 5000), pa.array(["python"] * 5000), pa.array(texts)], names=list("abcd"))
+    out = extract._visit({"python": visitor}, to_arrow_schema(schemas.FACTS))(iter([batch]))
+    first = next(out)
+    assert first.num_rows < 2500 and len(read) < 2500
+    assert first.num_rows + sum(b.num_rows for b in out) == 5000
