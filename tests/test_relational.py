@@ -104,3 +104,28 @@ def test_ranked_pages(spark, tmp_path):
     assert 0 < held <= 2 < ranked.ranges().count()
     empty = RankedTable.build(df.filter("false"), str(tmp_path / "none"), ["id"])
     assert empty.total() == 0
+
+
+def test_ranks_of_many_small_ranges_need_few_files(spark, tmp_path):
+    from codequarry.sources.ranked import RankedTable
+
+    df = spark.range(3000).selectExpr("id", "id % 7 AS x").repartition(4)
+    ranked = RankedTable.build(df, str(tmp_path / "many"), ["x", "-id"], range_rows=5)
+    assert ranked.total() == 3000 and ranked.ranges().count() == 600
+    assert len(ranked._rows().inputFiles()) == 1
+    want = sorted(((i, i % 7) for i in range(3000)), key=lambda r: (r[1], -r[0]))
+    assert [tuple(r)[:2] for r in ranked.page(12, 1501).orderBy("rank").collect()] == want[1501:1513]
+
+
+def test_ranks_across_files(spark, tmp_path, monkeypatch):
+    from codequarry.sources import ranked as module
+
+    monkeypatch.setattr(module, "FILE_ROWS", 300)
+    df = spark.range(2000).selectExpr("id", "id % 11 AS x").repartition(3)
+    ranked = module.RankedTable.build(df, str(tmp_path / "files"), ["-x", "id"], range_rows=40)
+    assert len(ranked._rows().inputFiles()) > 3
+    want = sorted(((i, i % 11) for i in range(2000)), key=lambda r: (-r[1], r[0]))
+    for limit, offset in ((50, 0), (700, 650), (10, 1995)):
+        got = ranked.page(limit, offset).orderBy("rank").collect()
+        assert [tuple(r)[:2] for r in got] == want[offset:offset + limit]
+        assert [r["rank"] for r in got] == list(range(offset + 1, offset + 1 + len(got)))
