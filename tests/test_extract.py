@@ -348,3 +348,24 @@ def test_texts_of_a_batch_are_read_one_at_a_time():
     first = next(out)
     assert first.num_rows < 2500 and len(read) < 2500
     assert first.num_rows + sum(b.num_rows for b in out) == 5000
+
+
+def test_redacted_facts_are_not_redacted_again(spark):
+    source = 'class A:\n    """token: abcdefgh12"""\n    key = "api_key=abcdefgh12" + "password=token=abcdefgh12 sk-' + "a" * 24 + '=x"\n'
+    files = spark.createDataFrame([("r", "a.py", bytearray(source.encode()))], "repository_id string, rel_path string, content binary")
+    facts = extract.facts(files)
+    safe = ingest._safe(facts, ingest.DEFAULT_LIMITS)
+    once, twice = extract.entities(safe, redacted=True), extract.entities(safe)
+    assert once.collect() == twice.collect() == extract.entities(facts).collect()
+    plan = once._jdf.queryExecution().analyzed().toString()
+    assert "REDACTED" not in plan.split("Project [repository_id", 1)[0]
+
+
+def test_content_is_made_once_to_be_judged(spark):
+    from codequarry.functions import paths
+
+    made = spark.range(3).selectExpr("cast(format_string('%d', id) as binary) AS content").filter(~paths.is_binary("content"))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    conditions = [line for line in plan.split("\n") if "Filter" in line]
+    assert len(conditions) == 1 and conditions[0].count("format_string") == 1
+    assert made.count() == 3
