@@ -3,11 +3,15 @@
 import math
 import re
 from collections import Counter
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from codequarry.llm import decontaminate, licences, rules, secrets
+from codequarry.llm import arrays as A
+from codequarry.llm import decontaminate, katz, licences, rules, secrets
 
 from .conftest import lower, split
 
@@ -248,3 +252,26 @@ def test_decontamination(spark, none):
     assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5]
     assert decontaminate.find(none, bench).count() == 0
     assert decontaminate.keep_clean(df, bench.filter("false")).count() == len(docs)
+
+
+def test_unpacked_arrays_own_their_values():
+    # A view on one-byte values kept the whole payload of every part alive.
+    packed = A.pack(np.arange(100_000, dtype=np.uint64), np.ones(5, np.uint8))
+    for data in (packed, pa.py_buffer(packed)):
+        numbers, bits = A.unpack(data)
+        assert numbers[-1] == 99_999 and bits.tolist() == [1] * 5
+        root = bits
+        while isinstance(root, np.ndarray) and root.base is not None:
+            root = root.base
+        assert isinstance(root, np.ndarray) and root.nbytes == 5
+
+
+def test_katz_rows_leave_in_bounded_batches(monkeypatch):
+    monkeypatch.setattr(katz, "BATCH_ROWS", 7)
+    text = pa.array([f"w{i} x{i % 3} the" for i in range(40)])
+    batch = pa.record_batch([pa.array(range(40)), pa.array([True] * 40), text], names=["_key", "_train", "text"])
+    none = SimpleNamespace(value=(np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+    made = list(katz._parts(none, False)(katz._spread(1, none)(iter([batch]))))
+    assert max(b.num_rows for b in made) == 7
+    docs = [n for b in made if b["kind"][0].as_py() == "doc" for n in b["n6"].to_pylist()]
+    assert docs == [4] * 40
