@@ -30,7 +30,7 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Rows of one block pair in the shuffled form (vectors; word lists are longer
 # and come in blocks of an eighth), and queries of one product in memory.
 CHUNK_BLOCK = 16384
-QUERY_BLOCK = 2048
+QUERY_BLOCK = 8192
 WORD_BLOCKS = 8
 QUERY_STEP = 256
 # More than rounding can move two scores against each other.

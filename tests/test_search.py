@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from codequarry.functions.vectors import cosine
 from codequarry.operators import inverted, search
@@ -239,3 +240,8 @@ def test_word_index_reads_asked_words_only(spark, tmp_path):
     assert "PartitionFilters: [folder" in plan and "PushedFilters: [In(word" in plan
     assert {r.word for r in part.collect()} == {"w3", "w11"}
     assert {len(r.ids) for r in index.postings().filter("word = 'all'").collect()} == {500}
+
+
+def test_chunks_are_sent_once_to_eight_thousand_queries(spark):
+    queries = spark.range(8192).select(F.lit(0).alias("by"), F.col("id").alias("query_id"))
+    assert search._blocks(queries, search.QUERY_BLOCK, "n").first()["n"] == 1
