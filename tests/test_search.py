@@ -245,3 +245,41 @@ def test_word_index_reads_asked_words_only(spark, tmp_path):
 def test_chunks_are_sent_once_to_eight_thousand_queries(spark):
     queries = spark.range(8192).select(F.lit(0).alias("by"), F.col("id").alias("query_id"))
     assert search._blocks(queries, search.QUERY_BLOCK, "n").first()["n"] == 1
+
+
+def test_few_chunks_of_a_block_are_ranked(monkeypatch):
+    """In a block, only what may be among a query's first k is scored exactly and compared; the hits are those of all pairs."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(11)
+    n, asked, width, k = 9000, 300, 24, 5
+    vectors = rng.poisson(1.0, size=(n, width)).astype(np.float32)
+    vectors[7] = 0
+    vectors[5000:5040] = vectors[4000]
+    lists = [None if i == 8500 else v.tolist() for i, v in enumerate(vectors)]
+    queries = rng.poisson(0.5, size=(asked, width)).astype(float)
+    queries[3] = 0
+    few = pa.table({"by": ["r"] * asked, "query_id": list(range(asked)), "v": pa.array(queries.tolist())})
+    seen, merge = [], getattr(search._Best, "_merge", None)
+    monkeypatch.setattr(search._Best, "_merge", lambda self, query, rounded, *more: (
+        seen.append(len(rounded)), merge(self, query, rounded, *more)), raising=False)
+    best = search._Best(k)
+    ids, entities = pa.array(range(n)), pa.array([i // 2 for i in range(n)])
+    handled, add = [], search._Best.add
+    monkeypatch.setattr(search._Best, "add", lambda self, query, scores, *more: (
+        handled.append(len(scores)), add(self, query, scores, *more)))
+    search._Vectors(few).add(pa.array(["r"] * n), ids, pa.array(lists, pa.list_(pa.float32())), best, entities)
+    assert sum(handled) + sum(seen) < n * asked / 10
+    double = vectors.astype(float)
+    norms = np.sqrt((double * double).sum(axis=1))
+    for q in range(asked):
+        scores = np.round(double @ queries[q] / (norms * np.sqrt(queries[q] @ queries[q]) + 1e-9), 9)
+        scores[8500] = -1
+        expected, used = [], set()
+        for i in sorted(range(n), key=lambda i: (-scores[i], i)):
+            if i // 2 not in used:
+                used.add(i // 2)
+                expected.append(i)
+            if len(expected) == k:
+                break
+        assert [row[1] for row in best.rows[q]] == expected
