@@ -41,13 +41,15 @@ def _may_match(c: Column) -> list[Column]:
     """Per secret rule: a plain substring test that no match can fail.
 
     Matching text has a rule's word in it, but for the three letters that fold
-    to ``s`` and ``i`` in a pattern and not in ``lower``.
+    to ``s`` and ``i`` in a pattern and not in ``lower``. The word in what a rule has put
+    there is none: a bracket follows it, and no match reaches over one.
     """
-    lowered = F.lower(c)
-    words = [lowered.contains(word) for word in V.SECRET_WORDS]
+    lowered = F.replace(F.lower(c), F.lit(V.SECRET_RULES[0][1].lower()), F.lit(" "))
+    # Lowered once, not for every word.
+    word = bound(lowered, lambda low: reduce(or_, [low.contains(word) for word in V.SECRET_WORDS]))
     folded = [c.contains(letter) for letter in V.ODD_FOLDING]
     assigned = c.contains("=") | c.contains(":")
-    return [assigned & reduce(or_, words + folded)] + [c.contains(x) for x in V.KEY_PREFIXES]
+    return [assigned & reduce(or_, [word, *folded])] + [c.contains(x) for x in V.KEY_PREFIXES]
 
 
 def redact_secrets(c: Column | str) -> Column:

@@ -8,6 +8,7 @@ need a shuffle to be unique.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -63,16 +64,6 @@ class _Columns:
     def __len__(self) -> int:
         return len(self.rows)
 
-    def add(self, fact: dict, repository_id: str, rel_path: str, ordinal: int, bases, repeated: bool) -> None:
-        get = fact.get
-        content = get("content")
-        self.rows.append((
-            repository_id, rel_path, ordinal, fact["kind"], get("name"), get("owner"), get("line_start"), get("line_end"),
-            get("signature"), get("docstring"), content, bases, repeated, get("parse_error"),
-        ))
-        if content:
-            self.chars += len(content)
-
     def batch(self) -> pa.RecordBatch:
         lists = zip(*self.rows)
         arrays = [pa.array(values, field.type) for values, field in zip(lists, self.schema, strict=True)]
@@ -83,19 +74,23 @@ def _add_file(columns: _Columns, repository_id: str, rel_path: str, found: Itera
     """Add the facts of one file, marking what its earlier facts already named."""
     seen: set[tuple] = set()
     inherited: set[tuple] = set()
+    add = columns.rows.append
     for ordinal, fact in enumerate(found):
-        key = (fact["kind"], fact.get("name"), fact.get("owner"))
-        bases = None
-        if fact.get("bases"):
-            links = [(fact["name"], base) for base in fact["bases"]]
+        get = fact.get
+        key = kind, name, owner = fact["kind"], get("name"), get("owner")
+        content, bases = get("content"), None
+        if get("bases"):
+            links = [(name, base) for base in fact["bases"]]
             bases = []
             for link in links:
                 bases.append({"name": link[1], "repeated": link in inherited})
                 inherited.add(link)
-        columns.add(
-            fact, repository_id=repository_id, rel_path=rel_path, ordinal=ordinal,
-            bases=bases, repeated=key in seen,
-        )
+        add((
+            repository_id, rel_path, ordinal, kind, name, owner, get("line_start"), get("line_end"),
+            get("signature"), get("docstring"), content, bases, key in seen, get("parse_error"),
+        ))
+        if content:
+            columns.chars += len(content)
         seen.add(key)
 
 
@@ -106,11 +101,18 @@ def _visit(visitors: dict[str, Visitor], schema: pa.Schema):
             *named, sources = batch.columns
             # Texts become Python strings one at a time, whatever the size of the batch.
             for (repository_id, rel_path, language), source in zip(zip(*(c.to_pylist() for c in named)), sources):
-                _add_file(columns, repository_id, rel_path, visitors[language](source.as_py()))
+                # A syntax tree has no cycles: looking for them while it grows finds nothing.
+                gc.disable()
+                try:
+                    _add_file(columns, repository_id, rel_path, visitors[language](source.as_py()))
+                finally:
+                    gc.enable()
                 if len(columns) >= _ROWS_OUT or columns.chars >= _CHARS_OUT:
                     made, columns = columns.batch(), _Columns(schema)
                     yield made
                     del made
+            # Gone before the next one is read.
+            batch = named = sources = source = None
         if len(columns):
             yield columns.batch()
 

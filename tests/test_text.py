@@ -184,3 +184,27 @@ def test_binary(spark):
     assert sizes == ["empty", None, None, None]
     _, cleaned = applied(spark, [b"a\xffb\xc3"], paths.text_of, "binary")
     assert cleaned == [b"a\xffb\xc3".decode("utf-8", "replace")]
+
+
+def test_patterns_run_only_where_they_can_match(spark):
+    """A key that is no api key and what redaction has left behind start no pattern; all that matches is replaced."""
+    import random
+
+    from codequarry import fixed_values as V
+
+    plain = ["def main(key={'a': 1}):", "password [REDACTED_SECRET]\nx = 1"[9:], "[REDACTED_SECRET]: [REDACTED_SECRET]="]
+    likely = ["API-KEY = 'abcdefgh1'", "[REDACTED_SECRET]token:abcdefgh1", "apıkey=abcdefgh1", "ſecret:abcdefgh1"]
+    rows = spark.createDataFrame([(x,) for x in plain + likely], "c string")
+    assert [r[0] for r in rows.select(text._may_match(F.col("c"))[0]).collect()] == [False] * 3 + [True] * 4
+    rng = random.Random(5)
+    bits = ["api", "key", "_", "-", "=", ":", " ", "\n", "'", "pass", "word", "password", "secret", "sec", "ret", "tok", "en",
+            "[REDACTED_SECRET]", "[redacted_secret]", "[", "]", "abcdefgh", "abcd", "KEY", "ı", "ſ", "K", "İ", "ey", "cret"]
+    some = lambda most: "".join(rng.choices(bits, k=rng.randint(0, most)))
+    words = ["api_key", "aPi-kEy", "APIKEY", "secret", "password", "token", "credential"]
+    texts = [some(6) + rng.choice(words) * rng.randint(0, 1) + some(1) + rng.choice("=: ") + some(6) for _ in range(4000)]
+    every = F.col("c")
+    for pattern, by in V.SECRET_RULES:
+        every = F.regexp_replace(every, pattern, by)
+    many = spark.createDataFrame([(x,) for x in texts], "c string").select("c", text.redact_secrets("c").alias("got"), every.alias("all"))
+    assert many.filter("got <> all").collect() == []
+    assert many.filter("got <> c").count() > 100
