@@ -15,6 +15,8 @@ from codequarry.session import materialise, spread_scan
 from registry.common import sql_entity_id, sql_hashed_vectors, sql_redact, table
 
 KEY = "repository_id"
+# Rows of a file of a table whose readers sort what they read.
+SORTED_ROWS = 50_000
 
 _FILE = '''"""Order %1$s."""
 import status_%2$s
@@ -206,12 +208,14 @@ def extracted_module_stats(spark, d):
 
 def extracted_overview(spark, d):
     # A report reads its nodes several times, from a table as it would be stored.
-    return reports.overview(materialise(ingest_nodes(spark, d), "nodes"))
+    return reports.overview(materialise(ingest_nodes(spark, d), "nodes", SORTED_ROWS))
 
 
 def extracted_dangling(spark, d):
     """Inherited classes that no file of the repository defines."""
-    made = ingest.from_facts(materialise(_facts(spark, d), "facts"))
+    # Nodes and edges read no texts, which are most of what facts hold: only chunks do, and none are made here.
+    named = materialise(_facts(spark, d).drop("content"), "facts")
+    made = ingest.from_facts(named.withColumn("content", F.lit(None).cast("string")))
     return graph.dangling_targets(made.edges, made.nodes).groupBy(KEY).agg(
         F.count(F.lit(1)).alias("targets"), F.sum("edges").cast("bigint").alias("edges")
     )

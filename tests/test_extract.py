@@ -369,3 +369,61 @@ def test_content_is_made_once_to_be_judged(spark):
     conditions = [line for line in plan.split("\n") if "Filter" in line]
     assert len(conditions) == 1 and conditions[0].count("format_string") == 1
     assert made.count() == 3
+
+
+def _orders(spark, path, n=60):
+    from datetime import date
+
+    rows = [(i, i % 7, "OFP"[i % 3], f"{i % 5 + 1}-P", 100.0 + i, date(1996, 1, 2)) for i in range(n)]
+    spark.createDataFrame(
+        rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_totalprice double, o_orderdate date",
+    ).coalesce(1).write.parquet(f"{path}/orders.parquet")
+    return str(path)
+
+
+def test_a_report_reads_its_nodes_in_short_files(spark, tmp_path, monkeypatch):
+    """What a task of the report sorts does not grow with the table: no file has more than its share of rows."""
+    from registry import extracted
+
+    monkeypatch.setattr(extracted, "SORTED_ROWS", 9, raising=False)
+    made, keep = [], extracted.materialise
+    monkeypatch.setattr(extracted, "materialise", lambda *a: made.append(keep(*a)) or made[-1])
+    found = extracted.extracted_overview(spark, _orders(spark, tmp_path))
+    assert found.count() == 5
+    assert made[0].count() == 60 * 7
+    rows = made[0].groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert rows <= 9
+
+
+def test_dangling_targets_need_no_texts(spark, tmp_path, monkeypatch):
+    from registry import extracted
+
+    made, keep = [], extracted.materialise
+    monkeypatch.setattr(extracted, "materialise", lambda *a: made.append(keep(*a)) or made[-1])
+    got = {tuple(r) for r in extracted.extracted_dangling(spark, _orders(spark, tmp_path)).select("targets", "edges").collect()}
+    assert got == {(24, 24)}  # each of a repository's 12 files inherits from two classes that are not there
+    assert "content" not in made[0].columns
+
+
+def test_a_batch_is_gone_before_the_next_is_read():
+    from collections import deque
+
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    from codequarry import schemas
+    from codequarry.operators import extract
+
+    held, size = [], 8 << 20
+
+    def batches():
+        before = pa.total_allocated_bytes()
+        for _ in range(3):
+            held.append(pa.total_allocated_bytes() - before)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x]) for x in ("r", "a.py", "python", "#" * size)], names=["repository_id", "rel_path", "language", "source"])
+        yield pa.RecordBatch.from_arrays([pa.array([], pa.string())] * 4, names=["repository_id", "rel_path", "language", "source"])
+
+    found = lambda text: iter([{"kind": "Module", "content": text[:9]}])
+    deque(extract._visit({"python": found}, to_arrow_schema(schemas.FACTS))(batches()), maxlen=0)
+    assert len(held) == 3 and max(held) < size / 2
