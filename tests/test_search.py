@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -242,6 +243,72 @@ def test_word_index_reads_asked_words_only(spark, tmp_path):
     assert {len(r.ids) for r in index.postings().filter("word = 'all'").collect()} == {500}
 
 
+def _shuffled_records(df):
+    """Rows that the shuffles of a collected frame wrote."""
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(node.plan())
+        below = sum(walk(node.children().apply(i)) for i in range(node.children().size()))
+        return below + (node.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0)
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_frequent_words_are_looked_up_by_block(spark, tmp_path):
+    frequent = " ".join(f"common{j}" for j in range(10))
+    rare = lambda i: " ".join(f"rare{i}x{j}" for j in range(14))
+    chunks = [(i, f"{frequent} {rare(i % 10)}") for i in range(400)]
+    queries = [(i, f"{frequent} {rare(i % 10)} absent") for i in range(40)]
+    left = spark.createDataFrame(chunks, "id int, content string").repartition(4)
+    right = spark.createDataFrame(queries, "query_id int, question string")
+    hits = WordIndex.build(left, str(tmp_path / "words"), None, block_rows=50).top_k(right, 2, None)
+    found = sorted((r.query_id, r["rank"], r.id, r.score) for r in hits.collect())
+    assert found == [(q, rank, q % 10 + 10 * (rank - 1), 24) for q in range(40) for rank in (1, 2)]
+    # No row for each open chunk and word of its query: both sides meet in their block.
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "array_contains" not in plan
+
+
+def test_words_are_split_behind_the_shuffle_of_the_build(spark, tmp_path, monkeypatch):
+    moved = []
+    write = WordIndex._write
+    monkeypatch.setattr(WordIndex, "_write", lambda self, rows, name, *more: (
+        moved.append((name, len(rows.collect()), _shuffled_records(rows))), write(self, rows, name, *more))[1])
+    left = spark.range(300).selectExpr("cast(id as int) id", "concat_ws(' ', transform(sequence(0, 49), x -> concat('w', x * 300 + id))) content")
+    WordIndex.build(left.repartition(3), str(tmp_path / "words"), None)
+    # A row a chunk, and few for the numbers of blocks; each chunk has 50 words of its own.
+    assert moved[0][:2] == ("postings", 15000) and 300 <= moved[0][2] < 700
+
+
+def test_word_index_of_repeated_and_missing_ids(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(inverted, "QUERY_SHARE", 2)
+    rows = [("a", "r", "x y"), ("a", "r", "Y z z"), ("b", "r", "x"), (None, "r", "x only"), ("c", "s", None), ("d", "t", " "), ("e", None, "x")]
+    left = spark.createDataFrame(rows, "id string, repository_id string, content string")
+    index = WordIndex.build(left, str(tmp_path / "words"), block_rows=100)
+    assert {(r.by, r.word, tuple(r.ids), r.n) for r in index.postings().collect()} == {
+        ("r", "x", ("a", "b"), 2), ("r", "y", ("a",), 1), ("r", "z", ("a",), 1), ("r", "only", (), 0)}
+    right = spark.createDataFrame([(i, "r", "x y z") for i in range(7)], "query_id int, repository_id string, question string")
+    assert sorted((r.query_id, r["rank"], r.id, r.score) for r in index.top_k(right, 2).collect()) == [
+        row for i in range(7) for row in ((i, 1, "a", 3), (i, 2, "b", 1))]
+
+
+def test_a_block_of_repeated_ids_is_held_once(monkeypatch):
+    monkeypatch.setattr(inverted, "HELD_PAIRS", 3)
+    held = []
+    distinct = inverted._distinct
+    monkeypatch.setattr(inverted, "_distinct", lambda pairs: (held.append(pairs.num_rows), distinct(pairs))[1])
+    batch = pa.RecordBatch.from_pydict({"words": ["p q", "q r", None, ""], "id": [7, 5, 6, 6]})
+    out = list(inverted._lists((pa.scalar("r"), pa.scalar(3, pa.int32())), iter([batch] * 50)))
+    assert max(held) <= 12 and len(out) == 1
+    assert sorted(map(tuple, (r.values() for r in out[0].to_pylist()))) == [
+        ("r", "p", 3, [7], 1), ("r", "q", 3, [5, 7], 2), ("r", "r", 3, [5], 1)]
+    empty = pa.RecordBatch.from_pydict({"words": pa.array([None, ""], pa.string()), "id": [1, 2]})
+    assert sum(b.num_rows for b in inverted._lists((pa.scalar("r"), pa.scalar(0, pa.int32())), iter([empty]))) == 0
+
+
 def test_chunks_are_sent_once_to_eight_thousand_queries(spark):
     queries = spark.range(8192).select(F.lit(0).alias("by"), F.col("id").alias("query_id"))
     assert search._blocks(queries, search.QUERY_BLOCK, "n").first()["n"] == 1
