@@ -8,8 +8,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 
 from codequarry.llm import katz, lines, mixing, nearjoin, passages, tokens
+from codequarry.llm.queries import QUERIES
 
 from .conftest import SCHEMA, lower, split
 
@@ -64,6 +66,26 @@ def test_katz(spark, odd, odd_rows, none, part_bytes, monkeypatch):
     assert katz.score(none).count() == 0
 
 
+@pytest.mark.parametrize("part_bytes", [1 << 30, 20_000])
+def test_katz_query_stores_its_counts(spark, odd, odd_rows, tmp_path, part_bytes, monkeypatch):
+    monkeypatch.setattr(katz, "SHARE", 1 << 30 if part_bytes > 1 << 20 else 700)
+    monkeypatch.setattr(katz.score, "__defaults__", (*katz.score.__defaults__[:-1], part_bytes))
+    stored, write = [], katz.WorkTables.partitioned
+    monkeypatch.setattr(katz.WorkTables, "partitioned", lambda *a: stored.append(write(*a)) or stored[-1])
+    odd.drop("row", "t", "quality", "copies").write.parquet(f"{tmp_path}/documents.parquet")
+    QUERIES["op1_katz_scores"][0](spark, str(tmp_path)).collect()
+    words, pairs = Counter(), Counter()
+    number = lambda w: np.array([xxhash.xxh3_64_intdigest(w)], np.uint64).view(np.int64)[0]
+    for d, t, *_ in odd_rows:
+        if d is None or zlib.crc32(str(d).encode()) % 7 != 2:
+            run = [number(w) for w in ["\r", *split(lower(t)), "\n"]]
+            words.update(run[1:])
+            pairs.update(zip(run[1:], run))
+    assert {r.word: r.n for r in katz.unigrams(stored[0]).collect()} == words
+    found = [tuple(r) for r in katz.bigrams(stored[0]).collect()]
+    assert sorted(found) == sorted((w, p, n) for (w, p), n in pairs.items())
+
+
 def test_katz_without_training(spark):
     only = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     row = katz.score(spark.createDataFrame([(only, "a b")], "doc_id long, text string")).first()
