@@ -14,9 +14,11 @@ of pairs: counts of links and a spanning set of links alone leave a task.
 Equal vectors are one class from the start, so a vector that is a third of all rows is
 compared once. A cell of very many vectors is dealt into blocks of rows, and each pair
 of such blocks is a task's work of bounded size; all that meet are compared, none is
-dropped. The shuffle is a fixed number of copies of each vector (at most 10 at 64
-coordinates) as long as cells are small; the comparisons within a crowded cell grow with
-its square, as vectors without any clusters make them.
+dropped. What meets is a fixed number of copies of each vector (at most 10 at 64
+coordinates) as long as cells are small; in a crowded cell a copy for each of its blocks,
+and the comparisons grow with its square, as vectors without any clusters make them. So
+pairs of blocks meet in waves, each of which places the vectors anew and shuffles about
+two copies of them, gone before the next: the disk does not grow with the square.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components
 link with nothing and are their own components; vectors of different width are never
@@ -40,13 +42,15 @@ from pyspark.sql import types as T
 from codequarry.llm import arrays as A
 from codequarry.llm.components import components
 from codequarry.llm.nearjoin import _spanning as spanning
-from codequarry.llm.tables import WorkTables, partitions
+from codequarry.llm.tables import WorkTables, partitions, release
 
 THRESHOLD = 0.95
 BLOCK_WIDTH = 16  # coordinates of a block
 GRID = 2  # coordinates of a block that place a vector in the grid
 CELL_ROWS = 8192  # vectors of a block of rows
 TILE = 1024
+WAVE_BYTES = 256 << 20  # of what meets at a time, if two copies of the vectors are less
+ROW_BYTES = 25  # of a vector in a piece, besides its coordinates
 SLACK = 1e-9
 ROUGH = 1e-5  # more than single precision can be off
 
@@ -117,39 +121,71 @@ def _neighbours(y: np.ndarray, cell: np.ndarray, side: float, reach: float):
             yield mine, cell[mine] + np.array(step)
 
 
-_PLACED = pa.schema([("cell", pa.binary()), ("n", pa.int64()), ("payload", pa.binary())])
+def _grid(batch: pa.RecordBatch, dtype: str, threshold: float):
+    """(names of cells, first row of each and the end, rows, whether they are at home, keys, copies, matrix)
+    of each block of coordinates; rows lie cell by cell."""
+    widths = batch.column("width").to_numpy(zero_copy_only=False)
+    for width in np.unique(widths):
+        picked = batch.take(pa.array(np.flatnonzero(widths == width)))
+        matrix = _joined(picked.column("vector").to_pylist(), dtype, int(width))
+        keys = np.frombuffer(b"".join(picked.column("key").to_pylist()), np.uint64).reshape(-1, 2)
+        copies = picked.column("copies").to_numpy().astype(np.int64)
+        y = units(matrix) @ rotation(int(width))
+        cut = blocks(int(width))
+        reach = np.sqrt(2 * (1 - threshold) / len(cut)) + SLACK
+        for number, columns in enumerate(cut):
+            grid = y[:, columns][:, :GRID]
+            cell = np.floor(grid / (2 * reach)).astype(np.int32)
+            found = list(_neighbours(grid, cell, 2 * reach, reach))
+            rows = np.concatenate([r for r, _ in found])
+            cells = np.concatenate([c for _, c in found]).astype(np.int32)
+            home = np.arange(len(rows)) < len(grid)
+            order = np.lexsort(cells.T[::-1])
+            rows, cells, home = rows[order], cells[order], home[order]
+            starts = np.flatnonzero(np.concatenate([[True], (cells[1:] != cells[:-1]).any(axis=1)]))
+            names = [np.concatenate([[width, number], c]).astype(">i4").tobytes() for c in cells[starts]]
+            yield names, np.append(starts, len(rows)), rows, home, keys, copies, matrix
+
+
+_CELLS = pa.schema([("cell", pa.binary()), ("n", pa.int64())])
+
+
+def _count(dtype: str, threshold: float):
+    def run(batches):
+        for batch in A.buffered(batches):
+            for names, starts, *_ in _grid(batch, dtype, threshold):
+                yield A.rows(_CELLS, cell=names, n=np.diff(starts))
+    return run
+
+
+_PLACED = pa.schema([("cell", pa.binary()), ("mine", pa.int32()), ("blocks", pa.int32()), ("first", pa.int32()), ("payload", pa.binary())])
 
 
-def _place(dtype: str, threshold: float):
+def _place(dtype: str, threshold: float, crowded, wave: int, waves: int):
+    """Pieces of the cells with what is to be met in this wave: the blocks ``first``, ``first + waves``, ...
+
+    Which block of rows a vector is in depends on the vector alone, and whether two blocks
+    meet in a wave on the cell and the blocks, so that all pairs of blocks meet in one wave each.
+    """
     def run(batches):
-        for batch in A.sliced(batches):
-            widths = batch.column(1).to_numpy(zero_copy_only=False)
-            for width in np.unique(widths):
-                at = np.flatnonzero(widths == width)
-                picked = batch.take(pa.array(at))
-                matrix = _joined(picked.column(2).to_pylist(), dtype, int(width))
-                keys = np.frombuffer(b"".join(picked.column(0).to_pylist()), np.uint64).reshape(-1, 2)
-                copies = picked.column(3).to_numpy().astype(np.int64)
-                y = units(matrix) @ rotation(int(width))
-                cut = blocks(int(width))
-                reach = np.sqrt(2 * (1 - threshold) / len(cut)) + SLACK
-                for number, columns in enumerate(cut):
-                    grid = y[:, columns][:, :GRID]
-                    cell = np.floor(grid / (2 * reach)).astype(np.int32)
-                    found = list(_neighbours(grid, cell, 2 * reach, reach))
-                    rows = np.concatenate([r for r, _ in found])
-                    cells = np.concatenate([c for _, c in found]).astype(np.int32)
-                    home = np.arange(len(rows)) < len(grid)
-                    order = np.lexsort(cells.T[::-1])
-                    rows, cells, home = rows[order], cells[order], home[order]
-                    new = np.flatnonzero(np.concatenate([[True], (cells[1:] != cells[:-1]).any(axis=1)])) if len(rows) else []
-                    for a, b in zip(new, [*new[1:], len(rows)]):
-                        name = np.concatenate([[width, number], cells[a]]).astype(">i4").tobytes()
-                        for start in range(a, b, TILE):
-                            r = rows[start:min(start + TILE, b)]
-                            yield A.rows(_PLACED, cell=[name], n=[len(r)], payload=[A.pack(
-                                keys[r, 0], keys[r, 1], copies[r], home[start:start + len(r)].astype(np.uint8),
-                                np.ascontiguousarray(matrix[r]).reshape(-1))])
+        for batch in A.buffered(batches):
+            for names, starts, rows, home, keys, copies, matrix in _grid(batch, dtype, threshold):
+                for name, a, b in zip(names, starts, starts[1:]):
+                    n_blocks = crowded.value.get(name, 1)
+                    of_cell = A.hash_of(name) % waves
+                    mine = (A.mix64(keys[rows[a:b], 0]) % np.uint64(n_blocks)).astype(np.int64)
+                    order = np.argsort(mine, kind="stable")
+                    cuts = np.searchsorted(mine[order], np.arange(n_blocks + 1))
+                    for block in np.flatnonzero(np.diff(cuts)).tolist():
+                        first = (wave - of_cell - block) % waves
+                        if first >= n_blocks:
+                            continue
+                        at = a + order[cuts[block]:cuts[block + 1]]
+                        for start in range(0, len(at), TILE):
+                            part = at[start:start + TILE]
+                            r = rows[part]
+                            yield A.rows(_PLACED, cell=[name], mine=[block], blocks=[n_blocks], first=[first], payload=[A.pack(
+                                keys[r, 0], keys[r, 1], copies[r], home[part].astype(np.uint8), np.ascontiguousarray(matrix[r]).reshape(-1))])
     return run
 
 
@@ -294,19 +330,24 @@ def _group(left: _Rows, right: _Rows, block: int, cut, turn, threshold: float, i
         yield A.rows(_FOUND, a=[keys[a].tobytes() for a, _ in tied], b=[keys[b].tobytes() for _, b in tied], links=[0] * len(tied))
 
 
-def _pairs(placed: DataFrame, cell_rows: int) -> DataFrame:
-    """Each piece of a cell once for every pair of blocks of rows that its own block is part of."""
-    crowded = placed.groupBy("cell").agg(F.ceil(F.sum("n") / F.lit(cell_rows)).cast("int").alias("blocks")).filter("blocks > 1")
-    dealt = placed.join(crowded, "cell", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("piece"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+def _pairs(placed: DataFrame, waves: int) -> DataFrame:
+    """Each piece of a cell once for every pair of blocks of rows that its own block is part of in this wave."""
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.col("first"), F.col("blocks") - 1, F.lit(waves))))
     dealt = dealt.withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other"))
     number = lambda c: F.unhex(F.lpad(F.hex(c), 8, "0"))
     return dealt.select(F.concat("cell", number("i"), number("j")).alias("pair"), "cell", "mine", "i", "j", "payload")
 
 
+def _waves(classes: DataFrame, cells: DataFrame, item: int, wave_bytes: int) -> int:
+    """Waves in which the cells meet, so that the shuffle of one holds about two copies of the vectors, or ``wave_bytes``."""
+    width = F.conv(F.hex(F.substring("cell", 1, 4)), 16, 10).cast("long")
+    moved = cells.agg(F.sum(F.col("n") * F.col("blocks") * (width * item + ROW_BYTES))).first()[0] or 0
+    once = classes.agg(F.sum(F.octet_length("vector"))).first()[0] or 0
+    return max(1, -(-moved // max(wave_bytes, 2 * once)))
+
+
 def join(vectors: DataFrame, threshold: float = THRESHOLD, vector: str = "embedding", vec_id: str = "vec_id",
-         cell_rows: int = CELL_ROWS) -> DataFrame:
+         cell_rows: int = CELL_ROWS, wave_bytes: int = WAVE_BYTES) -> DataFrame:
     """(vec_id, n_links, component_id, kept): one row for each row of ``vectors``.
 
     ``n_links`` counts the other rows with cosine ``threshold`` or more, ``component_id``
@@ -318,16 +359,27 @@ def join(vectors: DataFrame, threshold: float = THRESHOLD, vector: str = "embedd
     dtype = "<f4" if single else "<f8"
     wanted = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"),
                             F.col(f"`{vector}`").cast("array<float>" if single else "array<double>").alias("vector"))
-    signed = work.write(wanted.mapInArrow(_sign, "vec_id long, key binary, width int, vector binary"), "vectors-signed")
-    classes = work.write(signed.filter("key IS NOT NULL").groupBy("key").agg(
+    known = wanted.mapInArrow(_sign, "vec_id long, key binary, width int, vector binary")
+    signed = work.write(known.select("vec_id", "key"), "vectors-signed")
+    classes = work.write(known.filter("key IS NOT NULL").groupBy("key").agg(
         F.first("width").alias("width"), F.first("vector").alias("vector"), F.count("*").alias("copies"),
         F.min("vec_id").alias("vec_id")), "vectors-classes")
-    placed = classes.select("key", "width", "vector", "copies").mapInArrow(
-        _place(dtype, threshold), "cell binary, n long, payload binary")
-    placed = work.write(placed.withColumn("piece", F.monotonically_increasing_id()), "vectors-placed")
-    met = _pairs(placed, cell_rows).repartition(max(partitions(spark), 12), "pair").sortWithinPartitions("pair")
-    found = work.write(met.mapInArrow(_compare(threshold), "a binary, b binary, links long"), "vectors-links")
-    work.drop("vectors-placed")
+    release(spark)
+    vectors_of = classes.select("key", "width", "vector", "copies")
+    cells = work.write(vectors_of.mapInArrow(_count(dtype, threshold), "cell binary, n long").groupBy("cell").agg(
+        F.sum("n").alias("n")).withColumn("blocks", F.ceil(F.col("n") / F.lit(cell_rows)).cast("int")), "vectors-cells")
+    # One cell for thousands of vectors.
+    crowded = spark.sparkContext.broadcast({bytes(r["cell"]): r["blocks"] for r in cells.filter("blocks > 1").collect()})
+    waves = _waves(classes, cells, 4 if single else 8, wave_bytes)
+    for wave in range(waves):
+        placed = vectors_of.mapInArrow(
+            _place(dtype, threshold, crowded, wave, waves), "cell binary, mine int, blocks int, first int, payload binary")
+        met = _pairs(placed, waves).repartition(max(partitions(spark), 12), "pair").sortWithinPartitions("pair")
+        found = work.append(met.mapInArrow(_compare(threshold), "a binary, b binary, links long"), "vectors-links")
+        del placed, met
+        if waves > 1:
+            release(spark)
+    work.drop("vectors-cells")
     labels = components(found.filter("b IS NOT NULL").select("a", "b"), work, "vectors-parts")
     degree = found.filter("b IS NULL").groupBy(F.col("a").alias("key")).agg(F.sum("links").alias("links"))
     named = classes.select("key", "copies", "vec_id").join(labels.withColumnRenamed("node", "key"), "key", "left").join(degree, "key", "left")

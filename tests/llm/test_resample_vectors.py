@@ -116,6 +116,24 @@ def test_near_vectors(spark, width, noise, threshold, cell_rows):
     assert sum(w[1] for w in want) > 150 * 149
 
 
+def test_near_vectors_meet_in_waves(spark, monkeypatch):
+    rnd = np.random.default_rng(4)
+    base = rnd.standard_normal((300, 64))
+    vectors = [list(map(float, v)) for v in np.concatenate([base, base[:200] + 0.05 * rnd.standard_normal((200, 64))])]
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>").repartition(3)
+    moved, pairs = [], nearvectors._pairs
+    monkeypatch.setattr(nearvectors, "_pairs", lambda *a: moved.append(pairs(*a)) or moved[-1])
+    bytes_of = lambda: [x.agg(F.sum(F.octet_length("payload"))).first()[0] or 0 for x in moved]
+    want = linked(range(500), vectors, 0.95)
+    assert sorted((tuple(r) for r in nearvectors.join(df, cell_rows=20).collect()), key=str) == want
+    whole = sum(bytes_of())
+    moved.clear()
+    assert sorted((tuple(r) for r in nearvectors.join(df, cell_rows=20, wave_bytes=1).collect()), key=str) == want
+    # Crowded cells move many copies of the vectors, but few of them at a time.
+    each = bytes_of()
+    assert len(each) > 5 and whole > 10 * 500 * 64 * 8 and max(each) < whole / 3
+
+
 def test_pairs_meet_once_in_the_grid():
     rnd = np.random.default_rng(2)
     y = rnd.standard_normal((400, 3)) * 0.3
