@@ -318,6 +318,37 @@ def test_a_broken_statement_is_not_refused_twice(monkeypatch):
     assert len(tried) == len(set(tried))
 
 
+def test_what_lies_before_an_error_is_parsed_together(monkeypatch):
+    from types import SimpleNamespace
+
+    from codequarry.operators import recovery
+
+    tried = []
+    monkeypatch.setattr(recovery, "ast", SimpleNamespace(parse=lambda text: tried.append(text) or ast.parse(text), Module=ast.Module))
+    facts = facts_of("import a\nimport b\n\nx = 1\n\nclass A:\n    x = = 1\n\n    def f(self):\n        return 1\n\nimport c\n")
+    assert [(f["kind"], f["line_start"], f["line_end"]) for f in facts[1:]] == [
+        ("Import", 1, 1), ("Import", 2, 2), ("Class", 6, 10), ("Method", 9, 10), ("Error", 7, 7), ("Import", 12, 12)]
+    # Once for all before the class, once for the class without the line that was refused, once for what follows.
+    assert len(tried) == 3
+
+
+def test_facts_do_not_depend_on_how_a_text_was_refused():
+    from codequarry.operators.visitor import _recovered
+
+    odd = ["x = 1\n\\\ny = 2\nz = = 3\n", "if a:\n    b\nelse:\n    import c\ntry:\n    d\ndef f(): pass\n", "@d\nclass A: pass\nx = (1,\nimport y\n)\n",
+           "x = (1 2\ndef f(): pass\n)\n", "s = 1\nif x:\n  y\n z\nimport q\n", "a = 1 + \\\n\nb = 1 1\n", "a = 1\rb = = 2\ndef f(): pass\n"]
+    texts = [text for text, *_ in BROKEN.values()] + odd
+    for path in sorted(glob.glob("/opt/py313/lib/python3.13/[n-z]*.py"))[:40]:
+        lines = open(path, encoding="utf-8", errors="replace").read().split("\n")
+        lines[len(lines) // 2:len(lines) // 2] = ["x = [1, 2", "    y = = 3"]
+        texts.append("\n".join(lines))
+    for text in texts:
+        try:
+            ast.parse(text)
+        except SyntaxError as error:
+            assert list(_recovered(text, error)) == list(_recovered(text, None))
+
+
 def test_plain_headings_need_no_tokenizer(monkeypatch):
     def no_tokens(*_):
         raise AssertionError
